@@ -52,9 +52,16 @@ def starting_centres(drawn: DataFrame, kernels: int) -> list[Centre]:
 
 
 def nearest(x: Column, y: Column, centres: Sequence[Centre]) -> Column:
-    """Index of the closest centre, the lowest on ties."""
-    ranked = [F.struct(squared_distance(x, y, F.lit(cx), F.lit(cy)).alias("d"), F.lit(i).alias("i")) for i, (cx, cy) in enumerate(centres)]
-    return F.least(*ranked).getField("i")
+    """Index of the closest centre, the lowest on ties.
+
+    The centres fold into one array constant, so every round runs the same generated code.
+    """
+    table = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(cx).cast("bigint").alias("x"), F.lit(cy).cast("bigint").alias("y"))
+        for i, (cx, cy) in enumerate(centres)
+    ])
+    measured = F.transform(table, lambda c: F.struct(squared_distance(x, y, c["x"], c["y"]).alias("d"), c["i"].alias("i")))
+    return F.array_min(measured)["i"]
 
 
 def step(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:

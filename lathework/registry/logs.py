@@ -73,10 +73,10 @@ def group_argmax(spark: SparkSession, folder: str) -> DataFrame:
 
 def moving_average(spark: SparkSession, folder: str) -> DataFrame:
     daily = (
-        table(spark, folder, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(F.round(F.avg("l_extendedprice"), 4).alias("price"))
+        table(spark, folder, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(F.avg("l_extendedprice").alias("price"))
     )
     out = stocks.trailing_average(daily, "l_suppkey", "l_shipdate", "price", 20)
-    return out.select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.round("average", 4).alias("average"))
+    return out.select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.round("average", 6).alias("average"))
 
 
 def growth(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,9 +140,9 @@ ORACLE = {
         SELECT p_brand, count(*) AS n, arg_min(p_partkey, (-p_retailprice, p_partkey)) AS p_partkey, max(p_retailprice) AS p_retailprice
         FROM part GROUP BY p_brand""",
     "moving_average": """
-        WITH d AS (SELECT l_suppkey, l_shipdate, round(avg(l_extendedprice), 4) AS price FROM lineitem GROUP BY ALL)
+        WITH d AS (SELECT l_suppkey, l_shipdate, avg(l_extendedprice) AS price FROM lineitem GROUP BY ALL)
         SELECT l_suppkey, strftime(l_shipdate, '%Y-%m-%d') AS day,
-               round(coalesce(avg(price) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 0.0), 4) AS average
+               round(coalesce(avg(price) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 0.0), 6) AS average
         FROM d""",
     "growth": "WITH p(period, lo, hi) AS (VALUES " + ", ".join(f"('{n}', DATE '{lo}', DATE '{hi}')" for n, lo, hi in PERIODS) + """)
         SELECT period, o_custkey,
