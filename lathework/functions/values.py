@@ -37,11 +37,6 @@ def floored_max(value: Column, floor: int = 0) -> Column:
     return F.greatest(F.max(value), F.lit(floor))
 
 
-def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    dx, dy = (x1 - x2).cast("double"), (y1 - y2).cast("double")
-    return dx * dx + dy * dy
-
-
 def day(yyyymmdd: Column) -> Column:
     """DATE from an integer such as 20131001."""
     return F.to_date(yyyymmdd.cast("string"), "yyyyMMdd")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathework.plans.skew import ROWS_PER_TASK, heavy_keys, salted_join
+from lathework.session import ensure_checkpoint_folder
 
 MAX_HUBS = 8
 HUB_PAIRS = 50_000_000
@@ -38,18 +39,19 @@ def degrees(pairs: DataFrame) -> DataFrame:
 
 def triplets(edges: DataFrame) -> DataFrame:
     """One row, ``triplets``: paths of two links in the undirected graph, open or closed."""
-    d = F.col("degree")
     return degrees(undirected(edges)).agg(F.coalesce(F.sum(F.expr("degree * (degree - 1) div 2")), F.lit(0)).alias("triplets"))
 
 
 def oriented(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(``a``, ``b``, ``b_degree``, ``out``, ``back``): each link from its lower to its higher end by (degree, id).
+    """(``a``, ``b``, their degrees, ``out``, ``back``): each link from its lower to its higher end by (degree, id).
 
     Under this order no vertex keeps more than sqrt(2 x links) outgoing links, so pairs of
     links that leave one vertex stay bounded even at a hub. ``out`` and ``back`` tell which
     directed edges exist. Degrees are attached by a salted join because a hub's own links
-    all share its key.
+    all share its key. The links serve three sides of the triangle search and are
+    checkpointed so that they are built once.
     """
+    ensure_checkpoint_folder(edges.sparkSession)
     pairs = undirected(edges)
     degree = degrees(pairs)
     hubs = heavy_keys(degree, ["vertex"], rows_per_task, F.col("degree"))
@@ -57,18 +59,17 @@ def oriented(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
         named = degree.select(F.col("vertex").alias(end), F.col("degree").alias(f"{end}_degree"))
         pairs = salted_join(pairs, named, [end], hubs.withColumnRenamed("vertex", end))
     upward = F.struct("u_degree", "u") < F.struct("v_degree", "v")
-    return pairs.select(
-        F.when(upward, F.col("u")).otherwise(F.col("v")).alias("a"),
-        F.when(upward, F.col("v")).otherwise(F.col("u")).alias("b"),
-        F.when(upward, F.col("v_degree")).otherwise(F.col("u_degree")).alias("b_degree"),
-        F.when(upward, F.col("up")).otherwise(F.col("down")).alias("out"),
-        F.when(upward, F.col("down")).otherwise(F.col("up")).alias("back"),
-    )
+    return pairs.select(*[
+        F.when(upward, F.col(low)).otherwise(F.col(high)).alias(name)
+        for name, low, high in (
+            ("a", "u", "v"), ("b", "v", "u"), ("a_degree", "u_degree", "v_degree"), ("b_degree", "v_degree", "u_degree"),
+            ("out", "up", "down"), ("back", "down", "up"),
+        )
+    ]).checkpoint()
 
 
-def _closed(edges: DataFrame, rows_per_task: int) -> DataFrame:
+def _closed(links: DataFrame) -> DataFrame:
     """Every triangle once, at the lowest vertex of the orientation, with the directions of its links."""
-    links = oriented(edges, rows_per_task)
     near = links.select("a", "b", "b_degree", F.col("out").alias("ab"), F.col("back").alias("ba"))
     far = links.select("a", F.col("b").alias("c"), F.col("b_degree").alias("c_degree"), F.col("out").alias("ac"), F.col("back").alias("ca"))
     closing = links.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("out").alias("bc"), F.col("back").alias("cb"))
@@ -78,15 +79,22 @@ def _closed(edges: DataFrame, rows_per_task: int) -> DataFrame:
 
 def triangles(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(``a``, ``b``, ``c``) with a < b < c: each triangle of the undirected graph once."""
-    corner = F.array_sort(F.array("a", "b", "c"))
-    return _closed(edges, rows_per_task).select(*[corner.getItem(i).alias(n) for i, n in enumerate("abc")])
+    corners = F.sort_array(F.array("a", "b", "c"))
+    return _closed(oriented(edges, rows_per_task)).select(*[corners.getItem(i).alias(n) for i, n in enumerate("abc")])
 
 
 def clustering(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """One row, ``triplets``, ``triangles`` and ``coefficient`` = 3 x triangles / triplets, null without triplets."""
-    closed = _closed(edges, rows_per_task).agg(F.count(F.lit(1)).alias("triangles"))
-    return triplets(edges).select("triplets", closed.scalar().alias("triangles")).withColumn(
-        "coefficient", F.try_divide(F.lit(3.0) * F.col("triangles"), F.col("triplets").cast("double"))
+    """One row, ``triplets``, ``triangles`` and ``coefficient`` = 3 x triangles / triplets, null without triplets.
+
+    Each link is an arm of degree - 1 triplets at either end, and a triplet has two arms.
+    """
+    links = oriented(edges, rows_per_task)
+    arms = F.coalesce(F.sum(F.col("a_degree") + F.col("b_degree") - 2), F.lit(0))
+    closed = _closed(links).agg(F.count(F.lit(1)).alias("triangles"))
+    return (
+        links.agg(arms.alias("_arms"))
+        .select(F.expr("_arms div 2").alias("triplets"), closed.scalar().alias("triangles"))
+        .withColumn("coefficient", F.try_divide(F.lit(3.0) * F.col("triangles"), F.col("triplets").cast("double")))
     )
 
 
@@ -99,7 +107,7 @@ def cycles3(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     way = lambda *flags: F.when(F.col(flags[0]) & F.col(flags[1]) & F.col(flags[2]), 1).otherwise(0)
     both = way("ab", "bc", "ca") + way("ac", "cb", "ba")
     return (
-        _closed(edges, rows_per_task)
+        _closed(oriented(edges, rows_per_task))
         .select(F.least("a", "b", "c").alias("vertex"), both.cast("bigint").alias("n"))
         .where(F.col("n") > 0)
         .groupBy("vertex").agg(F.sum("n").alias("n"))
@@ -141,7 +149,7 @@ def significance(edges: DataFrame, hub_pairs: int = HUB_PAIRS, max_hubs: int = M
     hub_list = F.array(*[F.lit(h) for h in hubs])
 
     def bits(frame: DataFrame, hub: str, vertex: str, name: str) -> DataFrame:
-        bit = F.expr(f"shiftleft(1, cast(_at as int) - 1)")
+        bit = F.expr("shiftleft(1, cast(_at as int) - 1)")
         return (
             frame.where(F.col(hub).isin(hubs)).withColumn("_at", F.array_position(hub_list, F.col(hub)))
             .groupBy(F.col(vertex)).agg(F.bit_or(bit).alias(name))

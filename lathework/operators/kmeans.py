@@ -8,7 +8,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathework.functions.values import squared_distance
 from lathework.operators.ranking import LANGUAGES
 from lathework.plans.medians import grouped_median
 
@@ -51,23 +50,23 @@ def starting_centres(drawn: DataFrame, kernels: int) -> list[Centre]:
     return centres
 
 
-def nearest(x: Column, y: Column, centres: Sequence[Centre]) -> Column:
-    """Index of the closest centre, the lowest on ties.
+def nearest(x: str, y: str, centres: Sequence[Centre]) -> Column:
+    """Index of the centre closest to the columns ``x`` and ``y``, the lowest on ties.
 
-    The centres fold into one array constant, so every round runs the same generated code.
+    The centres fold into one array constant, so every round runs the same generated code;
+    they are written as SQL text because building hundreds of Column objects per round costs
+    more than the round itself. The result is declared never null, which keeps a join on it
+    from testing the whole expression against null on every input row.
     """
-    table = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(cx).cast("bigint").alias("x"), F.lit(cy).cast("bigint").alias("y"))
-        for i, (cx, cy) in enumerate(centres)
-    ])
-    measured = F.transform(table, lambda c: F.struct(squared_distance(x, y, c["x"], c["y"]).alias("d"), c["i"].alias("i")))
-    return F.array_min(measured)["i"]
+    table = ", ".join(f"struct({i} AS i, {int(cx)}L AS x, {int(cy)}L AS y)" for i, (cx, cy) in enumerate(centres))
+    dx, dy = f"cast({x} - c.x AS double)", f"cast({y} - c.y AS double)"
+    return F.expr(f"coalesce(array_min(transform(array({table}), c -> struct({dx} * {dx} + {dy} * {dy} AS d, c.i AS i))).i, -1)")
 
 
 def step(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:
     """(``idx``, ``x``, ``y``, ``n``): the new mean and size of every cluster that has points."""
     return (
-        hist.withColumn("idx", nearest(F.col("x"), F.col("y"), centres))
+        hist.withColumn("idx", nearest("x", "y", centres))
         .groupBy("idx").agg(
             F.expr("sum(x * n) div sum(n)").alias("x"), F.expr("sum(y * n) div sum(n)").alias("y"), F.sum("n").alias("n")
         )
@@ -104,7 +103,7 @@ def centres_frame(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:
 
 def cluster_report(hist: DataFrame, centres: Sequence[Centre], spread: int, labels: Sequence[str] = LANGUAGES) -> DataFrame:
     """(``idx``, ``label``, ``percent``, ``size``, ``median``): dominant label, its share and the median score, by median."""
-    placed = hist.withColumn("idx", nearest(F.col("x"), F.col("y"), centres))
+    placed = hist.withColumn("idx", nearest("x", "y", centres))
     per_label = placed.groupBy("idx", "x").agg(F.sum("n").alias("n"))
     top = per_label.groupBy("idx").agg(
         F.min_by("x", F.struct(-F.col("n"), F.col("x"))).alias("x"), F.max("n").alias("most"), F.sum("n").alias("size")

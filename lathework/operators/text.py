@@ -25,9 +25,14 @@ def ranked(df: DataFrame, measure: str, ties: Sequence[str], k: int | None = Non
 
 
 def bigram_count(df: DataFrame, text: str = "value") -> DataFrame:
-    """(``first``, ``second``, ``n``); pairs never cross a line break."""
+    """(``first``, ``second``, ``n``); pairs never cross a line break.
+
+    The tokens are a column of their own before they are paired: a generator evaluates its
+    argument anew for every use of it.
+    """
     lines = df.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
-    pairs = lines.select(F.inline(neighbours(plain_words(F.col("line")))))
+    tokens = lines.select(plain_words(F.col("line")).alias("tokens"))
+    pairs = tokens.select(F.inline(neighbours(F.col("tokens"))))
     return pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
 
 
