@@ -27,8 +27,7 @@ def _plain(value):
 
 def normal(rows, names):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(tuple(_plain(r[i]) for i in order) for r in rows) if False else sorted(
-        (tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
+    return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
 def compare(df, con, sql):
