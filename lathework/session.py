@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/lathework-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_folder(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

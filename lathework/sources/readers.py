@@ -120,3 +120,12 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None =
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(folder)
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, bytes_per_batch: int = 2**30) -> DataFrame:
+    """The parquet files of one table as a stream; a batch takes about ``bytes_per_batch``."""
+    file = f"{name}.parquet"
+    schema = spark.read.parquet(f"{folder}/{file}").schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", f"{file}*").option("maxBytesPerTrigger", bytes_per_batch).parquet(folder)
+    )
