@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lathework.plans.skew import ROWS_PER_TASK, heavy_keys, salted_join
 from lathework.session import ensure_checkpoint_folder
 
-MAX_HUBS = 8
+MAX_HUBS = 10
 HUB_PAIRS = 50_000_000
 
 
@@ -130,7 +130,8 @@ def significance(edges: DataFrame, hub_pairs: int = HUB_PAIRS, max_hubs: int = M
     on ``fed`` alone, so it is counted once per bit pattern, and only pairs outside that
     union are built.
     """
-    e = simple_edges(edges)
+    ensure_checkpoint_folder(edges.sparkSession)
+    e = simple_edges(edges).checkpoint()  # read by the hub search and by both ends of the path join
     ends = e.select(F.inline(F.array(
         F.struct(F.col("src").alias("vertex"), F.lit(0).alias("i"), F.lit(1).alias("o")),
         F.struct(F.col("dst").alias("vertex"), F.lit(1).alias("i"), F.lit(0).alias("o")),

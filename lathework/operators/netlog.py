@@ -26,11 +26,14 @@ def blocked_by_source(trace: DataFrame, actions: DataFrame, key: str, source: st
                       pattern: str = "Blocked") -> DataFrame:
     """(``source``, ``n``): matching connections per source, most first.
 
-    Only the key and the source are carried into the join, whose both sides come straight
-    from a scan so that an oversized key is split at run time.
+    Only the key and the source enter the join, and repeated actions on a connection enter as
+    one row with a count, so an id that is frequent on both sides is never multiplied out.
+    Grouping by the action as well leaves the join its own exchange on the key, which is what
+    lets an oversized key of the trace be split at run time.
     """
-    hits = with_action(actions, action, pattern).select(key)
-    return ranked(count_by(trace.select(key, source).join(hits, key), source), "n", [source])
+    hits = with_action(actions, action, pattern).groupBy(key, action).agg(F.count(F.lit(1)).alias("_times"))
+    hit = trace.select(key, source).join(hits, key)
+    return ranked(hit.groupBy(source).agg(F.sum("_times").alias("n")), "n", [source])
 
 
 def distinct_targets(df: DataFrame, source: Column, target: Column, k: int | None = None) -> DataFrame:

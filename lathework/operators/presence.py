@@ -29,7 +29,7 @@ def merged_events(registrations: DataFrame, moves: DataFrame, entrance: str = EN
 
 def stays(events: DataFrame, order: Sequence[str] = (), exit_room: str = EXIT,
           slice_width: str = SLICE, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(``child``, ``room``, ``start_ts``, ``end_ts``) from events (``ts``, ``child``, ``room``)."""
+    """(``child``, ``room``, ``start_ts``, ``end_ts``) from events (``ts``, ``child``, ``room``); copies of an event count once."""
     led = with_next_time(events.select("child", "ts", "room", *order), "child", "ts", list(order), "end_ts",
                          slice_width, rows_per_task)
     return led.where(F.col("room") != exit_room).select("child", "room", F.col("ts").alias("start_ts"), "end_ts")

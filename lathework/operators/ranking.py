@@ -49,12 +49,12 @@ def rank_terms(docs: DataFrame, text: str, terms: Sequence[str] = LANGUAGES, zer
 def inverted_index(docs: DataFrame, doc_id: str, text: str, terms: Sequence[str] = LANGUAGES, ids_per_block: int = 65_536) -> DataFrame:
     """(``term``, ``block``, ``ids``): sorted document ids of each term, in blocks of the id range.
 
-    A frequent term spans many blocks, so no list outgrows ``ids_per_block`` and no task
-    gathers a whole term.
+    A frequent term spans many blocks and a block holds each id once, so no list outgrows
+    ``ids_per_block`` and no task gathers a whole term.
     """
     block = F.floor(F.col(doc_id) / F.lit(ids_per_block)).alias("block")
     return mentions(docs, text, terms, [F.col(doc_id).alias("id"), block]).groupBy("term", "block").agg(
-        F.sort_array(F.collect_list("id")).alias("ids")
+        F.sort_array(F.collect_set("id")).alias("ids")
     )
 
 

@@ -59,7 +59,13 @@ def child_stats(spark: SparkSession, folder: str) -> DataFrame:
     return presence.child_stats(stay, last, ORIGIN, WIDTH)
 
 
-QUERIES = {f.__name__: f for f in (stays, location_log, missing_alert, unsafe_alert, room_stats, child_stats)}
+def unsafe_alert_repeat(spark: SparkSession, folder: str) -> DataFrame:
+    events, stay, last = _parts(spark, folder)
+    bucket = 6 * 3600 * 1_000_000
+    return presence.repeated_alerts(events, stay, last, UNSAFE_LIMIT, bucket, UNSAFE_ROOM)
+
+
+QUERIES = {f.__name__: f for f in (stays, location_log, missing_alert, unsafe_alert, unsafe_alert_repeat, room_stats, child_stats)}
 
 _STAYS = f"""WITH ev AS (
     SELECT user_id AS child, event_type AS room, ts AS start_ts,
@@ -90,6 +96,9 @@ ORACLE = {
         SELECT tick, child, start_ts, room FROM ticks JOIN s ON start_ts < tick AND (end_ts IS NULL OR tick <= end_ts)""",
     "missing_alert": _STAYS + "SELECT s.child, s.start_ts, s.room, reg.phone, " + _due(MISSING_LIMIT),
     "unsafe_alert": _STAYS + "SELECT s.child, s.start_ts, reg.phone, " + _due(UNSAFE_LIMIT) + f" AND s.room = '{UNSAFE_ROOM}'",
+    "unsafe_alert_repeat": _STAYS + f"""
+        SELECT e.ts AS now, s.child, s.start_ts, s.room FROM events e JOIN s
+        ON e.ts >= s.start_ts + INTERVAL '{UNSAFE_LIMIT}' AND (s.end_ts IS NULL OR e.ts < s.end_ts) WHERE s.room = '{UNSAFE_ROOM}'""",
     "room_stats": _STAYS + _GRID + ", rooms AS (SELECT unnest([" + ", ".join(f"'{r}'" for r in ROOMS) + """]) AS room)
         SELECT g.bucket, r.room, count(DISTINCT c.child) AS n
         FROM grid g CROSS JOIN rooms r LEFT JOIN c ON c.bucket = g.bucket AND c.room = r.room GROUP BY ALL""",

@@ -111,6 +111,13 @@ def test_stays(spark, rows, seed, rows_per_task):
     assert rows(stay) == sorted(replay_stays(events), key=repr)
 
 
+@pytest.mark.parametrize("rows_per_task", [2_000_000, 3])
+def test_copies_and_equal_times(spark, rows, rows_per_task):
+    events = [(i, at(9, i // 4), "c0", str(i % 3)) for i in range(24)] + [(99, at(11), "c1", "1")]
+    _, stay, _ = frames(spark, events + events[:9] + events[3:4] * 5, rows_per_task)
+    assert rows(stay) == sorted(replay_stays(events), key=repr)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_location_log(spark, rows, seed):
     events = random_events(seed)
