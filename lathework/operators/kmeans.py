@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathework.operators.ranking import LANGUAGES
 from lathework.plans.medians import grouped_median
+from lathework.session import ensure_checkpoint_folder
 
 KERNELS, ETA, MAX_ITERATIONS = 45, 20.0, 120
 GLOBAL_SAMPLE_BELOW = 500
@@ -18,8 +18,15 @@ Centre = tuple[int, int]
 
 
 def histogram(points: DataFrame) -> DataFrame:
-    """(``x``, ``y``, ``n``): equal points as one weighted row, which every later step works on."""
-    return points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    """(``x``, ``y``, ``n``): equal points as one weighted row, which every later step works on.
+
+    It is checkpointed: each round reads it again, and a lost executor must not bring back
+    the scan and the join behind it. It is spread over all cores because the distances, not
+    the bytes, are what a round pays for.
+    """
+    ensure_checkpoint_folder(points.sparkSession)
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).repartition(cores, "x", "y").checkpoint()
 
 
 def seeds(points: DataFrame, kernels: int, labels: int, spread: int, seed: int = 42) -> DataFrame:
@@ -76,24 +83,20 @@ def step(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:
 def fit(hist: DataFrame, centres: Sequence[Centre], eta: float = ETA, max_iterations: int = MAX_ITERATIONS) -> tuple[list[Centre], int]:
     """Centres after convergence and the iterations taken.
 
-    Each round is one job over the persisted histogram; only the centres (one row per kernel)
-    come to the driver. A cluster without points keeps its centre.
+    Each round is one job over the histogram; only the centres (one row per kernel) come to
+    the driver. A cluster without points keeps its centre.
     """
-    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        centres, taken = list(centres), 0
-        while taken < max_iterations:
-            taken += 1
-            moved = list(centres)
-            for row in step(hist, centres).collect():
-                moved[row.idx] = (row.x, row.y)
-            shift = sum(float(a - c) ** 2 + float(b - d) ** 2 for (a, b), (c, d) in zip(centres, moved))
-            centres = moved
-            if shift < eta:
-                break
-        return centres, taken
-    finally:
-        hist.unpersist()
+    centres, taken = list(centres), 0
+    while taken < max_iterations:
+        taken += 1
+        moved = list(centres)
+        for row in step(hist, centres).collect():
+            moved[row.idx] = (row.x, row.y)
+        shift = sum(float(a - c) ** 2 + float(b - d) ** 2 for (a, b), (c, d) in zip(centres, moved))
+        centres = moved
+        if shift < eta:
+            break
+    return centres, taken
 
 
 def centres_frame(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:

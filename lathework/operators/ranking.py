@@ -41,7 +41,7 @@ def rank_terms(docs: DataFrame, text: str, terms: Sequence[str] = LANGUAGES, zer
     """(``term``, ``n``): documents per term in one pass, most first; ``zeros`` keeps unmentioned terms."""
     counts = mentions(docs, text, terms).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if zeros:
-        blank = docs.sparkSession.createDataFrame([(t, 0) for t in terms], "term string, n bigint")
+        blank = docs.sparkSession.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"), F.lit(0).cast("bigint").alias("n"))
         counts = counts.unionByName(blank).groupBy("term").agg(F.sum("n").alias("n"))
     return ranked(counts, "n", ["term"])
 
