@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +18,8 @@ def trailing_average(prices: DataFrame, ticker: str, date: str, price: str, days
 
     The current day is left out, a shorter history averages what there is and none gives 0.0.
     A date that occurs twice keeps its larger price; that aggregation runs before the window,
-    so a ticker brings at most one row per calendar date to it. The date range is cut after
+    so a ticker brings at most one row per calendar date (``date`` is a DATE or a yyyymmdd
+    integer) to it. The date range is cut after
     the window because its first days look back past it.
     """
     daily = prices.groupBy(ticker, date).agg(F.max(price).alias(price))
@@ -36,8 +39,9 @@ def growth(prices: DataFrame, ticker: str, date: str, price: str, periods: Seque
     Tickers with a single row in a period are left out and a zero first price gives null.
     All periods come from one scan and one aggregation. ``ties`` order rows of the same date.
     """
-    hits = [F.when(F.col(date).between(F.lit(lo), F.lit(hi)), F.lit(name)) for name, lo, hi in periods]
-    tagged = prices.select(ticker, price, date, *ties, F.explode(F.array_compact(F.array(*hits))).alias("period"))
+    within = [F.col(date).between(F.lit(lo), F.lit(hi)) for _, lo, hi in periods]
+    named = F.array_compact(F.array(*[F.when(w, F.lit(name)) for w, (name, _, _) in zip(within, periods)]))
+    tagged = prices.where(reduce(or_, within)).select(ticker, price, date, *ties, F.explode(named).alias("period"))
     order = F.struct(date, *ties) if ties else F.col(date)
     ends = tagged.groupBy("period", ticker).agg(
         F.min_by(price, order).alias("first"), F.max_by(price, order).alias("last"), F.count(F.lit(1)).alias("_n")

@@ -33,17 +33,22 @@ def tally_lines(tally: DataFrame) -> DataFrame:
 def number_stream(lines: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Lines numbered through all batches, written to ``path``/batch=<id>.
 
-    A batch continues after the highest number of the batches before it. It rewrites only
-    its own folder, so a batch that is repeated after a failure gives the same rows.
+    A batch continues after the running total that the batches before it left in
+    ``path``_totals, one row each. It rewrites only its own folders, so a batch that is
+    repeated after a failure gives the same rows.
     """
+    totals = f"{path.rstrip('/')}_totals"
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = 0
         if batch_id:
-            earlier = spark.read.schema("num bigint, batch bigint").option("basePath", path).parquet(path)
-            done = earlier.where(F.col("batch") < batch_id).agg(F.max("num")).first()[0] or 0
-        numbered = number_lines(batch).withColumn("num", F.col("num") + F.lit(done))
-        numbered.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            earlier = spark.read.schema("total bigint, batch bigint").option("basePath", totals).parquet(totals)
+            done = earlier.where(F.col("batch") < batch_id).agg(F.max("total")).first()[0] or 0
+        number_lines(batch).withColumn("num", F.col("num") + F.lit(done)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        written = spark.read.parquet(f"{path}/batch={batch_id}")
+        total = written.agg(F.coalesce(F.max("num"), F.lit(done)).cast("bigint").alias("total"))
+        total.write.mode("overwrite").parquet(f"{totals}/batch={batch_id}")
 
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
