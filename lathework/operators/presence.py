@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lathework.functions.text import phone_shaped
 from lathework.plans.intervals import points_in_intervals
 from lathework.plans.skew import ROWS_PER_TASK
 from lathework.plans.successor import SLICE, with_next_time
@@ -90,9 +91,14 @@ def due_stays(stay: DataFrame, last: DataFrame, limit: str, room: str | None = N
     return held.where((F.col("end_ts") > F.col("due_ts")) | (open_ & (F.col("due_ts") <= last.scalar())))
 
 
+def phone_book(registrations: DataFrame) -> DataFrame:
+    """(``child``, ``phone``): the registered numbers that have the shape of one; one row per child."""
+    return registrations.where(phone_shaped(F.col("phone"))).select(F.col("child"), "phone")
+
+
 def with_phone(alerts: DataFrame, registrations: DataFrame) -> DataFrame:
-    """Adds the ``phone`` registered for the child; ``registrations`` has one row per child."""
-    return alerts.join(registrations.select("child", "phone"), "child", "left")
+    """Adds the ``phone`` registered for the child, null when there is none."""
+    return alerts.join(phone_book(registrations), "child", "left")
 
 
 def missing_alerts(stay: DataFrame, last: DataFrame, registrations: DataFrame, limit: str = "900 seconds") -> DataFrame:

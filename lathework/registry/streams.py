@@ -12,7 +12,9 @@ from lathework.session import scratch_folder
 from lathework.streaming import lines as sl
 from lathework.streaming import presence as sp
 
-ORIGIN_US = 1_704_067_200_000_000  # batch.ORIGIN
+
+def _origin(spark: SparkSession) -> int:
+    return spark.range(1).select(F.unix_micros(F.lit(batch.ORIGIN).cast("timestamp"))).first()[0]
 
 
 def _drain(stream: DataFrame) -> DataFrame:
@@ -46,17 +48,17 @@ def stream_unsafe_alert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_location_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = sp.location_log(_events(spark, folder), ORIGIN_US, batch.EVERY, batch.EXIT_ROOM)
+    log = sp.location_log(_events(spark, folder), _origin(spark), batch.EVERY, batch.EXIT_ROOM)
     return _drain(log).select(_time("tick"), _child(), _time("start_ts"), "room")
 
 
 def stream_room_stats(spark: SparkSession, folder: str) -> DataFrame:
-    occupied = _drain(sp.occupancy(_events(spark, folder), ORIGIN_US, batch.WIDTH, batch.EXIT_ROOM))
+    occupied = _drain(sp.occupancy(_events(spark, folder), _origin(spark), batch.WIDTH, batch.EXIT_ROOM))
     return sp.children_per_room(occupied).select(_time("bucket"), "room", "n")
 
 
 def stream_child_stats(spark: SparkSession, folder: str) -> DataFrame:
-    occupied = _drain(sp.occupancy(_events(spark, folder), ORIGIN_US, batch.WIDTH, batch.EXIT_ROOM))
+    occupied = _drain(sp.occupancy(_events(spark, folder), _origin(spark), batch.WIDTH, batch.EXIT_ROOM))
     return sp.rooms_per_child(occupied).select(_time("bucket"), _child(), "n")
 
 

@@ -74,6 +74,23 @@ def test_occupancy(spark, rows, tmp_path, event_stream):
     assert rows(sp.children_per_room(got)) == rows(rooms)
 
 
+def test_two_sources_in_event_time_order(spark, rows, tmp_path):
+    reg = [(at(9), "k", "239-663-0109"), (at(9, 1), "m", "23-9663-0109")]
+    moves = [(at(9), "k", "1000", "26"), (at(9, 30), "k", "26", "1"), (at(10), "k", "1", "E"), (at(10, 30), "m", "1000", "2")]
+    reg_schema, move_schema = "ts timestamp, child string, phone string", "ts timestamp, child string, from_room string, to_room string"
+    spark.createDataFrame(reg, reg_schema).write.parquet(str(tmp_path / "reg"))
+    spark.createDataFrame(moves, move_schema).write.parquet(str(tmp_path / "moves"))
+    book = spark.read.parquet(str(tmp_path / "reg"))
+    batch = presence.merged_events(book, spark.read.parquet(str(tmp_path / "moves")))
+    stream = presence.merged_events(spark.readStream.schema(reg_schema).parquet(str(tmp_path / "reg")),
+                                    spark.readStream.schema(move_schema).parquet(str(tmp_path / "moves")))
+    got = drained(sp.missing_alerts(stream, book, "15 minutes"), tmp_path, spark)
+    expected = presence.missing_alerts(presence.stays(batch, ["seq"]), presence.last_event(batch), book, "15 minutes")
+    columns = ["child", "room", "start_ts", "due_ts", "phone"]
+    assert rows(got.select(columns)) == rows(expected.select(columns)) != []
+    assert {r.phone for r in got.collect() if r.child == "m"} == {None}
+
+
 def test_discounts(spark, rows, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("id,first,last,amount\nt1,Ann,Lee,249.99\nt2,Bo,Ray,1000\n")
