@@ -54,7 +54,7 @@ def stream_location_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_room_stats(spark: SparkSession, folder: str) -> DataFrame:
     occupied = _drain(sp.occupancy(_events(spark, folder), _origin(spark), batch.WIDTH, batch.EXIT_ROOM))
-    return sp.children_per_room(occupied).select(_time("bucket"), "room", "n")
+    return sp.children_per_room(occupied, batch.ROOMS).select(_time("bucket"), "room", "n")
 
 
 def stream_child_stats(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +93,7 @@ ORACLE = {
     "stream_missing_alert": batch.ORACLE["missing_alert"],
     "stream_unsafe_alert": batch.ORACLE["unsafe_alert"],
     "stream_location_log": batch.ORACLE["location_log"] + " AND tick <= (SELECT last_ts FROM last)",
-    "stream_room_stats": batch._STAYS + batch._GRID + "SELECT bucket, room, count(DISTINCT child) AS n FROM c GROUP BY ALL",
+    "stream_room_stats": batch.ORACLE["room_stats"],
     "stream_child_stats": batch.ORACLE["child_stats"],
     "stream_discount": """
         SELECT c_custkey || ', ' || c_mktsegment || c_name || ', ' || amount || ', ' ||
