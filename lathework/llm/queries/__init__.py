@@ -1,5 +1,5 @@
 """One module of queries per operator."""
 
-from lathework.llm.queries import packing
+from lathework.llm.queries import packing, toxicity
 
-FAMILIES = [packing]
+FAMILIES = [packing, toxicity]
