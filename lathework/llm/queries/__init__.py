@@ -1,5 +1,5 @@
 """One module of queries per operator."""
 
-from lathework.llm.queries import packing, toxicity
+from lathework.llm.queries import packing, pii, toxicity
 
-FAMILIES = [packing, toxicity]
+FAMILIES = [packing, toxicity, pii]
