@@ -1,5 +1,5 @@
 """One module of queries per operator."""
 
-from lathework.llm.queries import packing, pii, toxicity
+from lathework.llm.queries import language, packing, pii, toxicity
 
-FAMILIES = [packing, toxicity, pii]
+FAMILIES = [packing, toxicity, pii, language]
