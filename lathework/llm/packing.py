@@ -14,7 +14,10 @@ often as they occur; an empty table gives no pieces; further columns of the inpu
 
 from __future__ import annotations
 
+import functools
 import heapq
+import itertools
+import operator
 import zlib
 from collections.abc import Iterator
 
@@ -29,9 +32,9 @@ from lathework.session import scratch_folder
 CAPACITY = 2048
 CUT = 512
 BLOCK = 4096
-CACHED_WORDS = 800_000
+CACHED_WORDS = 1_500_000
 END_ID = 1
-AHEAD = 256
+AHEAD = 1024
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -84,45 +87,56 @@ class WordIds:
     def _learn(self, unknown: set[str]) -> None:
         if len(self.words) + len(unknown) > self.limit:
             self.words, self.stems = {"": b""}, {"": b""}
-        halves = {}
+        first, last = [], []
         for word in unknown:
             low = word.lower() if "<" not in word and _latin(word) else word
             stem = low.rstrip(CLOSING)
-            halves[word] = (stem, low[len(stem):]) if stem[-1:].isalnum() and _latin(stem[-1]) else (low, "")
-        self._learn_stems(list({h for pair in halves.values() for h in pair} - self.stems.keys()))
-        self.words.update((w, self.stems[stem] + self.stems[tail]) for w, (stem, tail) in halves.items())
+            if stem == low or not (stem[-1:].isalnum() and _latin(stem[-1])):
+                first.append(low)
+                last.append("")
+            else:
+                first.append(stem)
+                last.append(low[len(stem):])
+        self._learn_stems(list(set(first).union(last).difference(self.stems)))
+        ids = self.stems.__getitem__
+        self.words.update(zip(unknown, map(operator.add, map(ids, first), map(ids, last))))
 
     def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+        return self._joined(_split(text))
+
+    def _joined(self, words: list[str]) -> bytes:
+        if len(words) > self.limit // 2:  # one text may have more words than the table
+            return b"".join(self._joined(words[at:at + self.limit // 2]) for at in range(0, len(words), self.limit // 2))
         try:
-            return b"".join([self.words[w] for w in words])
+            return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            out = []
-            for at in range(0, len(words), self.limit // 2):  # one text may have more words than the table
-                part = words[at:at + self.limit // 2]
-                needed = set(part)
-                if unknown := needed - self.words.keys():
-                    self._learn(unknown)
-                    if unknown := needed - self.words.keys():
-                        self._learn(unknown)
-                out += [self.words[w] for w in part]
-            return b"".join(out)
+            self._learn(set(words).difference(self.words))
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:  # the table began anew
+            self._learn(set(words).difference(self.words))
+        return b"".join(map(self.words.__getitem__, words))
 
     def batch(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; unknown words of ``AHEAD`` texts are learnt together."""
         for at in range(0, len(texts), AHEAD):
-            some = [t or "" for t in texts[at:at + AHEAD].to_pylist()]
-            unknown = {w for t in some for w in t.replace("\n", " ").split(" ")} - self.words.keys()
+            some = [_split(t or "") for t in texts[at:at + AHEAD].to_pylist()]
+            unknown = set(itertools.chain.from_iterable(some)).difference(self.words)
             if unknown and len(unknown) < self.limit // 2:
                 self._learn(unknown)
-            for text in some:
-                yield self.ids(text)
+            yield from map(self._joined, some)
+
+
+def _split(text: str) -> list[str]:
+    return text.replace("\n", " ").split(" ")
 
 
-def _tokenizer_path(tokenizer: str) -> str:
+@functools.lru_cache(maxsize=1)
+def word_table(tokenizer: str) -> WordIds:
+    """One table for all tasks of a Python worker."""
     import public_tokenizers
 
-    return public_tokenizers.path(tokenizer)
+    return WordIds(public_tokenizers.path(tokenizer))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", cut: int = CUT, capacity: int = CAPACITY,
@@ -135,7 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", cut: int
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(_tokenizer_path(tokenizer))
+        words = word_table(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in range(6 if with_ids else 5)]
             for doc_id, ids in zip(batch.column(0).to_pylist(), words.batch(batch.column(1))):
