@@ -1,5 +1,5 @@
 """One module of queries per operator."""
 
-from lathework.llm.queries import decontamination, language, near_duplicates, packing, pii, sharding, toxicity
+from lathework.llm.queries import decontamination, fingerprints, language, near_duplicates, packing, pii, sharding, toxicity
 
-FAMILIES = [packing, toxicity, pii, language, sharding, near_duplicates, decontamination]
+FAMILIES = [packing, toxicity, pii, language, sharding, near_duplicates, decontamination, fingerprints]
