@@ -1,5 +1,5 @@
 """One module of queries per operator."""
 
-from lathework.llm.queries import decontamination, fingerprints, html, language, near_duplicates, packing, pii, sharding, toxicity
+from lathework.llm.queries import decontamination, fingerprints, html, language, near_duplicates, packing, pii, sharding, toxicity, warc
 
-FAMILIES = [packing, toxicity, pii, language, sharding, near_duplicates, decontamination, fingerprints, html]
+FAMILIES = [packing, toxicity, pii, language, sharding, near_duplicates, decontamination, fingerprints, html, warc]
