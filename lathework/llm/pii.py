@@ -251,19 +251,23 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.bias + sum(self.weights.get(f, 0.0) for f in names), -500, 500))))
 
 
-def fit_classifier(rows: list[list[str]], targets: list[float], ridge: float = 1e-3, rounds: int = 200) -> Classifier:
-    """Logistic regression on soft labels by accelerated gradient descent."""
+def fit_classifier(rows: list[list[str]], targets: list[float], times: list[int], ridge: float = 1e-3, rounds: int = 400) -> Classifier:
+    """Logistic regression on soft labels by accelerated gradient descent; a row counts by the root of its ``times``."""
     if not rows:
         return Classifier()
-    seen = Counter(f for r in rows for f in set(r))
+    seen: Counter = Counter()
+    for r, k in zip(rows, times):
+        seen.update(dict.fromkeys(r, k))
     index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= 3))}
+    weight = np.sqrt(np.array(times, dtype=float))
+    weight /= weight.mean()
     at = np.array([(i, index[f]) for i, r in enumerate(rows) for f in set(r) if f in index], dtype=np.int64).reshape(-1, 2)
     y, n = np.array(targets), len(rows)
     w = v = np.zeros(len(index) + 1)
-    step = 4.0 / (1 + max(len(set(r)) for r in rows))
+    step = 4.0 / ((1 + max(len(set(r)) for r in rows)) * weight.max())
     for k in range(rounds):
         z = v[-1] + np.bincount(at[:, 0], v[at[:, 1]], minlength=n)
-        error = 0.5 * (1 + np.tanh(z / 2)) - y
+        error = weight * (0.5 * (1 + np.tanh(z / 2)) - y)
         slope = np.append(np.bincount(at[:, 1], error[at[:, 0]], minlength=len(index)), error.sum()) / n
         slope[:-1] += ridge * v[:-1]
         new = v - step * slope
@@ -277,10 +281,10 @@ def learn(candidates: DataFrame, column: str = "candidates", sample: int = SAMPL
     counted = spans.groupBy("c.kind", "c.votes").count().collect()
     chance = reliabilities({(r["kind"], r["votes"]): r["count"] for r in counted})
     rows = (
-        spans.select("c.kind", "c.votes", "c.features").distinct()
+        spans.groupBy("c.kind", "c.votes", "c.features").count()
         .orderBy(F.xxhash64("kind", "votes", "features"), "kind", "votes", "features").limit(sample).collect()
     )
-    return fit_classifier([r["features"] for r in rows], [chance[r["kind"], r["votes"]] for r in rows])
+    return fit_classifier([r["features"] for r in rows], [chance[r["kind"], r["votes"]] for r in rows], [r["count"] for r in rows])
 
 
 def settled(candidates: list[dict], classifier: Classifier, at: float = KEEP_AT) -> list[tuple[str, int, int]]:

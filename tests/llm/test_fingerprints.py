@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from lathework.llm import fingerprints as f
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def compare(docs, rows):
+    texts = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda x: (-1 if x[0] is None else x[0], x[1]))
+    by_id, errors = {r.doc_id: r for r in rows}, []
+    assert len(rows) == len(texts)
+    for (doc_id, text), (_, following) in zip(texts, texts[1:] + texts[:1]):
+        half = len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        r = by_id[doc_id]
+        assert r.n_chars == len(text)
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() or sum(i == doc_id for i, _ in texts) > 1
+        errors += [r.near_edited - jaccard(shingles(text), shingles(edited)), r.near_next - jaccard(shingles(text), shingles(following))]
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    same = {}
+    for doc_id, text in texts:
+        same.setdefault(text, set()).add(by_id[doc_id].fingerprint)
+    assert all(len(x) == 1 for x in same.values())
+    return errors
+
+
+@pytest.mark.parametrize("rows_per_bucket", [7, 2_000])
+def test_driver_documents(spark, rows_per_bucket):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4)
+    errors = compare(docs, f.edited_fingerprints(docs, rows_per_bucket=rows_per_bucket).collect())
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.04
+    assert abs(sum(errors) / len(errors)) < 0.01
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = f.edited_fingerprints(docs)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_odd_documents(odd_documents, no_documents):
+    rows = f.edited_fingerprints(odd_documents, rows_per_bucket=2).collect()
+    compare(odd_documents, rows)
+    nothing = {r.doc_id: r for r in rows}[3]
+    assert set(nothing.fingerprint) == {"0"} and nothing.near_edited == 1.0
+    assert f.edited_fingerprints(no_documents).count() == 0
+
+
+def test_the_only_document_follows_itself(spark):
+    docs = spark.createDataFrame([(4, "a b c d e f g h")], "doc_id bigint, text string")
+    assert [(r.near_next, r.n_chars) for r in f.edited_fingerprints(docs).collect()] == [(1.0, 15)]
+
+
+@pytest.mark.parametrize("bounds", [[], [5], [1, 2, 3], list(range(0, 90, 9))])
+def test_bisection(spark, bounds):
+    got = spark.range(-3, 100).select("id", f.bucket_of(F.col("id"), bounds).alias("b")).collect()
+    assert all(r.b == sum(x <= r.id for x in bounds) for r in got)
