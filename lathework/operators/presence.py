@@ -92,8 +92,13 @@ def due_stays(stay: DataFrame, last: DataFrame, limit: str, room: str | None = N
 
 
 def phone_book(registrations: DataFrame) -> DataFrame:
-    """(``child``, ``phone``): the registered numbers that have the shape of one; one row per child."""
-    return registrations.where(phone_shaped(F.col("phone"))).select(F.col("child"), "phone")
+    """(``child``, ``phone``), one row per child: the latest registration's number, if it has the shape of one.
+
+    Without a ``ts`` column, or at equal times, the largest number counts as the latest.
+    """
+    order = F.struct(*[c for c in ("ts", "phone") if c in registrations.columns])
+    latest = registrations.groupBy("child").agg(F.max(order).getField("phone").alias("phone"))
+    return latest.where(phone_shaped(F.col("phone")))
 
 
 def with_phone(alerts: DataFrame, registrations: DataFrame) -> DataFrame:

@@ -8,20 +8,33 @@ from pyspark.sql import functions as F
 from lathework import sinks, sources
 from lathework.registry import presence as batch
 from lathework.registry import texts
+from lathework.registry.tables import table
 from lathework.session import scratch_folder
 from lathework.streaming import lines as sl
 from lathework.streaming import presence as sp
 
 
-def _origin(spark: SparkSession) -> int:
-    return spark.range(1).select(F.unix_micros(F.lit(batch.ORIGIN).cast("timestamp"))).first()[0]
+ORIGIN_US = 1704067200 * 1_000_000  # batch.ORIGIN
 
 
-def _drain(stream: DataFrame) -> DataFrame:
+def _drain(stream: DataFrame) -> tuple[DataFrame, str]:
+    """The rows of a stream that has run over the whole table, and its checkpoint."""
     spark = stream.sparkSession
     folder = scratch_folder(spark)
     sinks.stream_to_table(stream, f"{folder}/rows", f"{folder}/progress", available_now=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows"), f"{folder}/progress"
+
+
+def _ended(stream: DataFrame, processor: sp._OpenStay, folder: str, at: str) -> DataFrame:
+    """The drained rows and those the stream owes at its end."""
+    spark = stream.sparkSession
+    rows, checkpoint = _drain(stream)
+    last = _events_table(spark, folder).agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0]
+    return rows if last is None else rows.unionByName(sp.closing_rows(spark, checkpoint, processor, last, at))
+
+
+def _events_table(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events")
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,44 +50,54 @@ def _child():
     return F.col("child").cast("bigint").alias("child")
 
 
+def _alerts(spark: SparkSession, folder: str, limit: str, room: str | None) -> DataFrame:
+    due = sp.due_stays(_events(spark, folder), limit, room, batch.EXIT_ROOM)
+    ended = _ended(due, sp.DueStays(sp.micros(limit), room, batch.EXIT_ROOM), folder, "due_ts")
+    return sp.with_phones(ended, batch._registrations(spark, folder)).select(_child(), _time("due_ts"), _time("start_ts"), "room", "phone")
+
+
 def stream_missing_alert(spark: SparkSession, folder: str) -> DataFrame:
-    alerts = sp.missing_alerts(_events(spark, folder), batch._registrations(spark, folder), batch.MISSING_LIMIT, exit_room=batch.EXIT_ROOM)
-    return _drain(alerts).select(_child(), _time("due_ts"), _time("start_ts"), "room", "phone")
+    return _alerts(spark, folder, batch.MISSING_LIMIT, None)
 
 
 def stream_unsafe_alert(spark: SparkSession, folder: str) -> DataFrame:
-    alerts = sp.unsafe_alerts(_events(spark, folder), batch._registrations(spark, folder), batch.UNSAFE_ROOM, batch.UNSAFE_LIMIT, exit_room=batch.EXIT_ROOM)
-    return _drain(alerts).select(_child(), _time("due_ts"), _time("start_ts"), "phone")
+    return _alerts(spark, folder, batch.UNSAFE_LIMIT, batch.UNSAFE_ROOM).drop("room")
 
 
 def stream_location_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = sp.location_log(_events(spark, folder), _origin(spark), batch.EVERY, batch.EXIT_ROOM)
-    return _drain(log).select(_time("tick"), _child(), _time("start_ts"), "room")
+    log = sp.location_log(_events(spark, folder), ORIGIN_US, batch.EVERY, batch.EXIT_ROOM)
+    ended = _ended(log, sp.Ticks(ORIGIN_US, sp.micros(batch.EVERY), batch.EXIT_ROOM), folder, "tick")
+    return ended.select(_time("tick"), _child(), _time("start_ts"), "room")
+
+
+def _occupied(spark: SparkSession, folder: str) -> DataFrame:
+    occupied = sp.occupancy(_events(spark, folder), ORIGIN_US, batch.WIDTH, batch.EXIT_ROOM)
+    return _ended(occupied, sp.Buckets(ORIGIN_US, sp.micros(batch.WIDTH), batch.EXIT_ROOM), folder, "bucket")
 
 
 def stream_room_stats(spark: SparkSession, folder: str) -> DataFrame:
-    occupied = _drain(sp.occupancy(_events(spark, folder), _origin(spark), batch.WIDTH, batch.EXIT_ROOM))
-    return sp.children_per_room(occupied, batch.ROOMS).select(_time("bucket"), "room", "n")
+    return sp.children_per_room(_occupied(spark, folder), batch.ROOMS).select(_time("bucket"), "room", "n")
 
 
 def stream_child_stats(spark: SparkSession, folder: str) -> DataFrame:
-    occupied = _drain(sp.occupancy(_events(spark, folder), _origin(spark), batch.WIDTH, batch.EXIT_ROOM))
-    return sp.rooms_per_child(occupied).select(_time("bucket"), _child(), "n")
+    return sp.rooms_per_child(_occupied(spark, folder)).select(_time("bucket"), _child(), "n")
 
 
 def stream_discount(spark: SparkSession, folder: str) -> DataFrame:
     purchases = sources.stream_table(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("transaction_id"), F.col("c_mktsegment").alias("first"), F.col("c_name").alias("last"),
         F.round("c_acctbal").alias("amount"))
-    return _drain(sl.discount_lines(purchases))
+    return _drain(sl.discount_lines(purchases))[0]
 
 
 def stream_word_tally(spark: SparkSession, folder: str) -> DataFrame:
     tally = sl.running_tally(sources.stream_table(spark, folder, "documents"), texts.TALLIED, "text")
-    name = "tally_" + scratch_folder(spark)[-32:]
+    folder = scratch_folder(spark)
+    name = "tally_" + folder[-32:]
     # the memory sink holds one row per chosen word
-    tally.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    writer = tally.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder}/progress")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sl.with_zeros(spark.table(name), texts.TALLIED)
 
 
 def stream_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +115,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "stream_missing_alert": batch.ORACLE["missing_alert"],
     "stream_unsafe_alert": batch.ORACLE["unsafe_alert"],
-    "stream_location_log": batch.ORACLE["location_log"] + " AND tick <= (SELECT last_ts FROM last)",
+    "stream_location_log": batch.ORACLE["location_log"],
     "stream_room_stats": batch.ORACLE["room_stats"],
     "stream_child_stats": batch.ORACLE["child_stats"],
     "stream_discount": """

@@ -123,9 +123,9 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, bytes_per_batch: int = 2**30) -> DataFrame:
-    """The parquet files of one table as a stream; a batch takes about ``bytes_per_batch``."""
-    file = f"{name}.parquet"
-    schema = spark.read.parquet(f"{folder}/{file}").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{file}*").option("maxBytesPerTrigger", bytes_per_batch).parquet(folder)
-    )
+    """The parquet files of one table, a file or a folder of them, as a stream; a batch takes about ``bytes_per_batch``.
+
+    The last letter is a pattern because a stream takes a lone file only by a pattern.
+    """
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema  # fails when there is none
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(f"{folder}/{name}.parque[t]")

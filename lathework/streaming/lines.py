@@ -26,6 +26,12 @@ def running_tally(lines: DataFrame, chosen: Sequence[str], text: str = "value")
     return tokens.where(F.col("word").isin(*chosen)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_zeros(tally: DataFrame, chosen: Sequence[str]) -> DataFrame:
+    """The tally as read out, with a zero for every chosen word that has not occurred."""
+    words = tally.sparkSession.range(1).select(F.explode(F.array(*[F.lit(w) for w in dict.fromkeys(chosen)])).alias("word"))
+    return words.join(tally, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def tally_lines(tally: DataFrame) -> DataFrame:
     return tally.select(F.concat_ws(": ", "word", F.col("n").cast("string")).alias("line"))
 
@@ -33,8 +39,8 @@ def tally_lines(tally: DataFrame) -> DataFrame:
 def number_stream(lines: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Lines numbered through all batches, written to ``path``/batch=<id>.
 
-    A batch continues after the running total that the batches before it left in
-    ``path``_totals, one row each. It rewrites only its own folders, so a batch that is
+    A batch continues after the running total that the batch before it left in
+    ``path``_totals, one row. It rewrites only its own folders, so a batch that is
     repeated after a failure gives the same rows.
     """
     totals = f"{path.rstrip('/')}_totals"
@@ -43,8 +49,7 @@ def number_stream(lines: DataFrame, path: str, checkpoint: str, available_now: b
         spark = batch.sparkSession
         done = 0
         if batch_id:
-            earlier = spark.read.schema("total bigint, batch bigint").option("basePath", totals).parquet(totals)
-            done = earlier.where(F.col("batch") < batch_id).agg(F.max("total")).first()[0] or 0
+            done = spark.read.schema("total bigint").parquet(f"{totals}/batch={batch_id - 1}").first()[0]
         number_lines(batch).withColumn("num", F.col("num") + F.lit(done)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         written = spark.read.parquet(f"{path}/batch={batch_id}")
         total = written.agg(F.coalesce(F.max("num"), F.lit(done)).cast("bigint").alias("total"))

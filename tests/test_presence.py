@@ -189,3 +189,10 @@ def test_report_lines(spark):
     lines = [r.line for r in presence.as_report_lines(df, "Child Location Report", "tick", ["child", "room"]).orderBy("stamp", "line_no", "line").collect()]
     assert lines[0] == "========= 09:05 Child Location Report ========="
     assert lines[1:3] == ["a, 1", "b, 2"] and len(lines) == 5
+
+
+def test_the_latest_registration_gives_the_phone(spark, rows):
+    reg = spark.createDataFrame([
+        (at(9), "k", "239-663-0109"), (at(10), "k", "239-663-0110"), (at(9), "m", "239-663-0111"), (at(10), "m", "bad")], "ts timestamp, child string, phone string")
+    assert rows(presence.phone_book(reg)) == [("k", "239-663-0110")]
+    assert rows(presence.phone_book(reg.drop("ts"))) == [("k", "239-663-0110")]

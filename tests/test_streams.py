@@ -36,10 +36,19 @@ def event_stream(spark, tmp_path):
     return make
 
 
-def drained(stream, tmp_path, spark):
+def drained(stream, tmp_path, spark, processor=None, events=(), at_column="due_ts"):
+    """What the stream wrote and, given its processor and all events, what it owed at its end."""
     query = sinks.stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
     query.awaitTermination(300)
-    return spark.read.parquet(str(tmp_path / "out"))
+    written = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    if not processor:
+        return written
+    last = spark.createDataFrame([(max(e[1] for e in events),)], "t timestamp").select(F.unix_micros("t")).first()[0]
+    return written.unionByName(sp.closing_rows(spark, str(tmp_path / "cp"), processor, last, at_column))
+
+
+def due(stream, tmp_path, spark, events, limit="15 minutes", room=None, delay="0 seconds"):
+    return drained(sp.due_stays(stream, limit, room, delay=delay), tmp_path, spark, sp.DueStays(sp.micros(limit), room), events)
 
 
 @pytest.mark.parametrize("room", [None, "26"])
@@ -47,33 +56,78 @@ def test_due_stays(spark, rows, tmp_path, event_stream, room):
     events = random_events(11)
     _, stay, last = frames(spark, events)
     reg = spark.createDataFrame([(f"c{i}", f"239-000-000{i}") for i in range(6)], "child string, phone string")
-    got = drained(sp.missing_alerts(event_stream(events), reg, "15 minutes", room=room), tmp_path, spark)
+    got = sp.with_phones(due(event_stream(events), tmp_path, spark, events, room=room), reg)
     expected = presence.with_phone(presence.due_stays(stay, last, "15 minutes", room), reg)
     columns = ["child", "room", "start_ts", "due_ts", "phone"]
-    end = max(e[1] for e in events)
-    assert rows(got.where(F.col("due_ts") < F.lit(end)).select(columns)) == rows(expected.where(F.col("due_ts") < F.lit(end)).select(columns))
+    assert rows(got.select(columns)) == rows(expected.select(columns))
 
 
 def test_location_log(spark, rows, tmp_path, event_stream):
     events = random_events(12, count=80)
     _, stay, last = frames(spark, events)
-    end = max(e[1] for e in events)
-    got = drained(sp.location_log(event_stream(events), ORIGIN_US, "5 minutes"), tmp_path, spark)
+    processor = sp.Ticks(ORIGIN_US, sp.micros("5 minutes"))
+    got = drained(sp.location_log(event_stream(events), ORIGIN_US, "5 minutes"), tmp_path, spark, processor, events, "tick")
     expected = presence.location_log(stay, last, ORIGIN, "5 minutes")
     columns = ["tick", "child", "room", "start_ts"]
-    assert rows(got.where(F.col("tick") < F.lit(end)).select(columns)) == rows(expected.where(F.col("tick") < F.lit(end)).select(columns))
+    assert rows(got.select(columns)) == rows(expected.select(columns))
 
 
 def test_occupancy(spark, rows, tmp_path, event_stream):
-    events = random_events(13) + [(999, at(13, 30), "closing", "0")]
+    events = random_events(13)
     _, stay, last = frames(spark, events)
-    got = drained(sp.occupancy(event_stream(events), ORIGIN_US, "1 hour"), tmp_path, spark)
+    processor = sp.Buckets(ORIGIN_US, sp.micros("1 hour"))
+    got = drained(sp.occupancy(event_stream(events), ORIGIN_US, "1 hour"), tmp_path, spark, processor, events, "bucket")
     kids = presence.child_stats(stay, last, ORIGIN, "1 hour")
     rooms = presence.room_stats(stay, last, ["0", "1", "2", "26", "27"], ORIGIN, "1 hour")
     assert rows(sp.rooms_per_child(got)) == rows(kids)
     assert rows(sp.children_per_room(got, ["0", "1", "2", "26", "27"])) == rows(rooms)
 
 
+def test_rows_late_within_the_delay_take_their_place(spark, rows, tmp_path, event_stream):
+    """Events dealt out of order over the files, by less than the delay."""
+    events = random_events(17)
+    mixed = sorted(events, key=lambda e: (e[1].timestamp() // 1800, e[0] * 7919 % 101))
+    _, stay, last = frames(spark, events)
+    got = due(event_stream(mixed, files=6), tmp_path, spark, events, delay="1 hour")
+    columns = ["child", "room", "start_ts", "due_ts"]
+    assert rows(got.select(columns)) == rows(presence.due_stays(stay, last, "15 minutes").select(columns))
+
+
+@pytest.mark.parametrize("events,alerts", [
+    ([(1, at(9), "k", "1"), (2, at(10), "k", "2"), (3, at(9, 30), "k", "26")], [(at(9, 15), "1"), (at(9, 45), "26")]),  # late, before the open stay
+    ([(1, at(9), "k", "1"), (2, at(10), "k", "E"), (3, at(9, 50), "k", "2")], [(at(9, 15), "1")]),  # late, before an exit
+    ([(1, at(9), "k", "1"), (2, at(9, 15), "m", "E")], [(at(9, 15), "1")]),  # due at the last event
+])
+def test_late_and_last_events(spark, tmp_path, event_stream, events, alerts):
+    got = due(event_stream(events, files=len(events)), tmp_path, spark, events, delay="1 hour")
+    assert sorted((r.due_ts, r.room) for r in got.collect()) == alerts
+
+
+def test_nothing_is_reported_twice_after_a_restart(spark, rows, tmp_path, event_stream):
+    events = random_events(19)
+    _, stay, last = frames(spark, events)
+    stream = event_stream(events)
+    drained(sp.due_stays(stream, "15 minutes"), tmp_path, spark)
+    got = due(stream, tmp_path, spark, events)
+    columns = ["child", "room", "start_ts", "due_ts"]
+    assert rows(got.select(columns)) == rows(presence.due_stays(stay, last, "15 minutes").select(columns))
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_a_table_is_a_file_or_a_folder(spark, tmp_path, folder):
+    spark.range(100).repartition(4).write.parquet(str(tmp_path / "t.parquet" if folder else tmp_path / "w"))
+    if not folder:
+        spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+        (part,) = (tmp_path / "one").glob("part-*.parquet")
+        (tmp_path / "t.parquet").write_bytes(part.read_bytes())
+    assert drained(sources.stream_table(spark, str(tmp_path), "t"), tmp_path, spark).count() == 100
+
+
+def test_a_missing_table_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sources.stream_table(spark, str(tmp_path), "none")
+
+
 def test_two_sources_in_event_time_order(spark, rows, tmp_path):
     reg = [(at(9), "k", "239-663-0109"), (at(9, 1), "m", "23-9663-0109")]
     moves = [(at(9), "k", "1000", "26"), (at(9, 30), "k", "26", "1"), (at(10), "k", "1", "E"), (at(10, 30), "m", "1000", "2")]
@@ -84,7 +138,8 @@ def test_two_sources_in_event_time_order(spark, rows, tmp_path):
     batch = presence.merged_events(book, spark.read.parquet(str(tmp_path / "moves")))
     stream = presence.merged_events(spark.readStream.schema(reg_schema).parquet(str(tmp_path / "reg")),
                                     spark.readStream.schema(move_schema).parquet(str(tmp_path / "moves")))
-    got = drained(sp.missing_alerts(stream, book, "15 minutes"), tmp_path, spark)
+    events = [(0, r[0]) for r in reg] + [(0, m[0]) for m in moves]
+    got = sp.with_phones(due(stream, tmp_path, spark, events), book)
     expected = presence.missing_alerts(presence.stays(batch, ["seq"]), presence.last_event(batch), book, "15 minutes")
     columns = ["child", "room", "start_ts", "due_ts", "phone"]
     assert rows(got.select(columns)) == rows(expected.select(columns)) != []
@@ -115,6 +170,7 @@ def test_numbers_and_tally(spark, rows, tmp_path):
     numbered = spark.read.parquet(str(tmp_path / "num")).select("num", "value")
     assert rows(numbered) == [(1, "history one"), (2, "adventure history"), (3, "three"), (4, "history four"), (5, "five")]
     tally = sl.running_tally(sources.stream_lines(spark, str(tmp_path / "in"), 1), ["history", "adventure"])
-    query = tally.writeStream.format("memory").queryName("tally").outputMode("complete").trigger(availableNow=True).start()
-    query.awaitTermination(120)
+    writer = tally.writeStream.format("memory").queryName("tally").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp2"))
+    writer.trigger(availableNow=True).start().awaitTermination(120)
     assert rows(sl.tally_lines(spark.table("tally"))) == [("adventure: 1",), ("history: 3",)]
+    assert rows(sl.with_zeros(spark.table("tally"), ["history", "never", "never"])) == [("history", 3), ("never", 0)]
