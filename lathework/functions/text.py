@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -55,5 +56,7 @@ def phone_shaped(text: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Whole-string, case-sensitive regex match."""
+    """Whole-string, case-sensitive regex match; a pattern without regex characters is an equality, which scans can take."""
+    if not re.search(r"[\\^$.|?*+()\[\]{}]", pattern):
+        return text == pattern
     return text.rlike(f"^(?:{pattern})$")

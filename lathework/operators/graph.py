@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from lathework.plans.skew import ROWS_PER_TASK, heavy_keys, salted_join
 from lathework.session import ensure_checkpoint_folder
 
-MAX_HUBS = 10
-HUB_PAIRS = 50_000_000
+SIDE = 5_000  # edges on a side of a cell when a middle vertex is cut into a grid
 
 
 def simple_edges(edges: DataFrame) -> DataFrame:
@@ -119,71 +118,35 @@ def cycles3_total(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataF
     return cycles3(edges, rows_per_task).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def significance(edges: DataFrame, hub_pairs: int = HUB_PAIRS, max_hubs: int = MAX_HUBS,
-                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def significance(edges: DataFrame, side: int = SIDE, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(``vertex``, ``n``): distinct other vertices that reach the vertex in one or two steps; none means no row.
 
-    Reaching pairs are built edge by edge through the middle vertex, except at the few
-    largest hubs, whose in x out pairs would swamp the rest. Those go by inclusion and
-    exclusion: every vertex gets one bit per hub it leads into (``into``) and one per hub it
-    is led to from (``fed``). What reaches a vertex through its hubs is a union that depends
-    on ``fed`` alone, so it is counted once per bit pattern, and only pairs outside that
-    union are built.
+    Reaching pairs are built through the middle vertex. A middle vertex is cut into a grid: its
+    incoming edges into ceil(in / side) rows and its outgoing ones into ceil(out / side) columns.
+    An edge goes to every cell of its row or column, so a cell joins at most about side x side
+    pairs whatever the vertex, and every pair meets in one cell. Pairs are made distinct
+    as they are built and again after the exchange.
     """
     ensure_checkpoint_folder(edges.sparkSession)
-    e = simple_edges(edges).checkpoint()  # read by the hub search and by both ends of the path join
+    e = simple_edges(edges).checkpoint()  # read for the degrees and by both ends of the path join
     ends = e.select(F.inline(F.array(
-        F.struct(F.col("src").alias("vertex"), F.lit(0).alias("i"), F.lit(1).alias("o")),
-        F.struct(F.col("dst").alias("vertex"), F.lit(1).alias("i"), F.lit(0).alias("o")),
-    ))).groupBy("vertex").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
-    load = F.col("i").cast("double") * F.col("o")
-    hubs = [r.vertex for r in ends.where(load > hub_pairs).orderBy(load.desc(), "vertex").limit(max_hubs).collect()]
+        F.struct(F.col("src").alias("m"), F.lit(0).alias("i"), F.lit(1).alias("o")),
+        F.struct(F.col("dst").alias("m"), F.lit(1).alias("i"), F.lit(0).alias("o")),
+    ))).groupBy("m").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
+    parts = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(side)), F.lit(1)).cast("int")
+    grid = ends.where("i > 0 AND o > 0").select("m", parts("i").alias("_rows_of"), parts("o").alias("_columns_of"))
+    heavy = heavy_keys(ends, ["m"], rows_per_task, F.col("i") + F.col("o"))
+
+    def dealt(frame: DataFrame, end: str, own: str, other: str, own_part: str, other_part: str) -> DataFrame:
+        placed = salted_join(frame, grid, ["m"], heavy).withColumn(own_part, F.pmod(F.xxhash64(end), F.col(own)).cast("int"))
+        return placed.withColumn(other_part, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop(own, other)
 
     first = e.select(F.col("src").alias("x"), F.col("dst").alias("m"))
     second = e.select(F.col("src").alias("m"), F.col("dst").alias("vertex"))
-    if not hubs:
-        reach = first.withColumnRenamed("m", "vertex").unionByName(
-            first.join(second, "m").where(F.col("x") != F.col("vertex")).select("x", "vertex")
-        )
-        return reach.distinct().groupBy("vertex").agg(F.count(F.lit(1)).alias("n"))
-
-    hub_list = F.array(*[F.lit(h) for h in hubs])
-
-    def bits(frame: DataFrame, hub: str, vertex: str, name: str) -> DataFrame:
-        bit = F.expr("shiftleft(1, cast(_at as int) - 1)")
-        return (
-            frame.where(F.col(hub).isin(hubs)).withColumn("_at", F.array_position(hub_list, F.col(hub)))
-            .groupBy(F.col(vertex)).agg(F.bit_or(bit).alias(name))
-        )
-
-    into = bits(first, "m", "x", "into")
-    fed = bits(second, "m", "vertex", "fed")
-    heavy = heavy_keys(ends, ["vertex"], rows_per_task, F.col("i") + F.col("o"))
-    first = salted_join(first, into, ["x"], heavy.withColumnRenamed("vertex", "x"), "left").na.fill(0, ["into"])
-    second = salted_join(second, fed, ["vertex"], heavy, "left").na.fill(0, ["fed"])
-
-    outside = F.col("into").bitwiseAND(F.col("fed")) == 0
-    direct = second.withColumnRenamed("m", "x")
-    direct = salted_join(direct, into, ["x"], heavy.withColumnRenamed("vertex", "x"), "left").na.fill(0, ["into"])
-    two = first.where(~F.col("m").isin(hubs)).join(second, "m").where(F.col("x") != F.col("vertex"))
-    rest = (
-        direct.where(outside).select("x", "vertex").unionByName(two.where(outside).select("x", "vertex"))
-        .distinct().groupBy("vertex").agg(F.count(F.lit(1)).alias("rest"))
-    )
-    patterns = F.sequence(F.lit(1), F.lit(2 ** len(hubs) - 1))
-    unions = (
-        into.groupBy("into").agg(F.count(F.lit(1)).alias("c"))
-        .select("c", F.explode(F.filter(patterns, lambda p: p.bitwiseAND(F.col("into")) != 0)).alias("fed"))
-        .groupBy("fed").agg(F.sum("c").alias("through"))
-    )
-    by_hub = (
-        fed.join(F.broadcast(unions), "fed", "left")
-        .join(into.withColumnRenamed("x", "vertex"), "vertex", "left")
-        .select("vertex", (F.coalesce("through", F.lit(0))
-                           - F.when(F.col("into").bitwiseAND(F.col("fed")) != 0, 1).otherwise(0)).alias("through"))
-    )
-    return (
-        rest.join(by_hub, "vertex", "full")
-        .select("vertex", (F.coalesce("rest", F.lit(0)) + F.coalesce("through", F.lit(0))).alias("n"))
-        .where(F.col("n") > 0)
+    two = (
+        dealt(first, "x", "_rows_of", "_columns_of", "_row", "_column")
+        .join(dealt(second, "vertex", "_columns_of", "_rows_of", "_column", "_row"), ["m", "_row", "_column"])
+        .where(F.col("x") != F.col("vertex")).select("x", "vertex")
     )
+    reach = first.withColumnRenamed("m", "vertex").unionByName(two)
+    return reach.distinct().groupBy("vertex").agg(F.count(F.lit(1)).alias("n"))

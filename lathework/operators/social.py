@@ -19,12 +19,25 @@ MESSAGE = T.StructType([
 ])
 
 
-def parse_json(df: DataFrame, raw: str, schema: T.StructType = MESSAGE, required: str = "user") -> DataFrame:
-    """Fields of ``schema`` from the JSON text ``raw``; records without ``required`` are malformed and skipped."""
-    return (
-        df.select(F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE"}).alias("_record"))
-        .select("_record.*").where(F.col(required).isNotNull())
-    )
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return df.select(F.from_json(F.col(raw), marked, options).alias("_record")).select("_record.*")
+
+
+def parse_json(df: DataFrame, raw: str, schema: T.StructType = MESSAGE, required: str | None = None) -> DataFrame:
+    """Fields of ``schema`` from the JSON text ``raw``; malformed records, and those without ``required``, are skipped."""
+    well = _parsed(df, raw, schema).where(F.col(CORRUPT).isNull())
+    return (well if required is None else well.where(F.col(required).isNotNull())).drop(CORRUPT)
+
+
+def json_counts(df: DataFrame, raw: str, schema: T.StructType = MESSAGE) -> DataFrame:
+    """One row, ``kept`` and ``rejected``: records ``parse_json`` keeps and malformed ones it skips."""
+    bad = F.col(CORRUPT).isNotNull()
+    return _parsed(df, raw, schema).agg(F.count_if(~bad).alias("kept"), F.count_if(bad).alias("rejected"))
 
 
 def hashtags() -> Column:

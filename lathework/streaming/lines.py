@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lathework.functions.values import tiered
-from lathework.operators.ordering import number_lines
+from lathework.operators.ordering import file_place, number_lines
 
 
 def discount_lines(purchases: DataFrame) -> DataFrame:
@@ -55,5 +55,6 @@ def number_stream(lines: DataFrame, path: str, checkpoint: str, available_now: b
         total = written.agg(F.coalesce(F.max("num"), F.lit(done)).cast("bigint").alias("total"))
         total.write.mode("overwrite").parquet(f"{totals}/batch={batch_id}")
 
-    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    # a batch no longer knows its files, so every row brings its place along
+    writer = lines.select("*", *file_place()).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

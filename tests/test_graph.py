@@ -54,11 +54,25 @@ def test_measures_equal_brute_force(spark, rows, edges):
 
 
 @pytest.mark.parametrize("edges", CASES)
-@pytest.mark.parametrize("max_hubs", [1, 3, 8])
-def test_significance_with_hubs_taken_out(spark, rows, edges, max_hubs):
+@pytest.mark.parametrize("side", [1, 2, 5])
+def test_significance_with_vertices_cut_into_grids(spark, rows, edges, side):
     df = spark.createDataFrame(edges, "src bigint, dst bigint")
-    got = graph.significance(df, hub_pairs=4, max_hubs=max_hubs, rows_per_task=3)
-    assert dict(rows(got)) == brute(edges)[3]
+    assert dict(rows(graph.significance(df, side, rows_per_task=3))) == brute(edges)[3]
+
+
+def test_significance_with_twenty_hubs(spark, rows):
+    """Every hub has forty edges in and forty out, some of them shared."""
+    edges = [(1000 + (7 * h + i) % 300, h) for h in range(20) for i in range(40)] + [(h, 2000 + (11 * h + i) % 300) for h in range(20) for i in range(40)]
+    reach = {}
+    for x, m in edges:
+        reach.setdefault(m, set()).add(x)
+    for x, m in edges:
+        for m2, v in edges:
+            if m == m2 and x != v:
+                reach.setdefault(v, set()).add(x)
+    df = spark.createDataFrame(edges, "src bigint, dst bigint")
+    for side in (7, 5_000):
+        assert dict(rows(graph.significance(df, side, rows_per_task=30))) == {v: len(x) for v, x in reach.items()}
 
 
 def test_loops_repeats_and_no_triplets(spark, rows):

@@ -85,6 +85,13 @@ def test_messages(spark, rows):
     assert rows(social.user_top_tag(df, F.col("user.screen_name"), social.hashtags())) == [("ann", 2, "y", 2), ("bob", 1, None, None)]
 
 
+def test_malformed_messages_are_counted_and_tags_need_no_user(spark, rows):
+    df = spark.createDataFrame([(m,) for m in [*MESSAGES, '{"entities": {"hashtags": [{"text": "y"}]}}']], "raw string")
+    assert rows(social.json_counts(df, "raw")) == [(4, 1)]
+    assert rows(social.tag_counts(social.parse_json(df, "raw"), social.hashtags())) == [("x", 1), ("y", 3)]
+    assert social.parse_json(df, "raw", required="user").count() == 3
+
+
 # -- logs ------------------------------------------------------------------------------------
 
 def test_connection_log_and_ranking(spark, rows):
@@ -162,13 +169,25 @@ def test_growth(spark, rows):
 
 # -- ordering --------------------------------------------------------------------------------
 
-def test_numbers_follow_input_order_over_files(spark, tmp_path):
-    spark.range(0, 1000, 1, 7).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    in_order = [r.id for r in df.collect()]
-    numbered = ordering.number_lines(df)
-    assert [r.id for r in sorted(numbered.collect())] == in_order
-    assert sorted(r.num for r in numbered.collect()) == list(range(1, 1001))
+@pytest.mark.parametrize("split_bytes", ["128m", "64"])
+def test_numbers_follow_the_files_by_name(spark, tmp_path, split_bytes):
+    """The scan takes large files first and may cut them; numbers follow names and lines."""
+    want = []
+    for name, n in (("a", 2), ("b", 50), ("c", 10)):
+        body = [f"{name}{i}" for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(body) + "\n")
+        want += body
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        numbered = ordering.number_lines(spark.read.text(str(tmp_path)).select("value"))
+        assert [(r.num, r.value) for r in sorted(numbered.collect())] == list(enumerate(want, 1))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_numbers_without_files(spark):
+    numbered = ordering.number_lines(spark.range(0, 100, 1, 7))
+    assert [(r.num, r.id) for r in sorted(numbered.collect())] == [(i + 1, i) for i in range(100)]
 
 
 def test_numbers_by_key(spark):
@@ -253,6 +272,11 @@ def test_grouped_median_over_wide_values(spark):
         assert got[g] == (ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]) // 2
 
 
+def test_no_heavy_key_is_left_out(spark):
+    many = spark.range(90_000).select((F.col("id") % 30_000).alias("k"))
+    assert heavy_keys(many, ["k"], rows_per_task=2).count() == 30_000
+
+
 def test_salted_join_equals_plain_join(spark, rows):
     many = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(300)], "k bigint, v bigint")
     one_ = spark.createDataFrame([(i, f"n{i}") for i in range(0, 300, 2)], "k bigint, name string")

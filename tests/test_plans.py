@@ -69,3 +69,8 @@ def test_registered_plans_have_no_nested_loops(spark):
             continue
         text = plan(query(spark, FOLDER))
         assert "NestedLoop" not in text and "CartesianProduct" not in text, name
+
+
+def test_a_literal_pattern_reaches_the_scan(spark):
+    text = plan(registry.QUERIES["blocked_by_source"](spark, FOLDER))
+    assert "EqualTo(o_orderstatus,F)" in text
