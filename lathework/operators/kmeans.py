@@ -13,20 +13,23 @@ from lathework.session import ensure_checkpoint_folder
 
 KERNELS, ETA, MAX_ITERATIONS = 45, 20.0, 120
 GLOBAL_SAMPLE_BELOW = 500
+ROWS_PER_TASK = 50_000
 
 Centre = tuple[int, int]
 
 
-def histogram(points: DataFrame) -> DataFrame:
+def histogram(points: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(``x``, ``y``, ``n``): equal points as one weighted row, which every later step works on.
 
     It is checkpointed: each round reads it again, and a lost executor must not bring back
-    the scan and the join behind it. It is spread over all cores because the distances, not
-    the bytes, are what a round pays for.
+    the scan and the join behind it. Its own size sets its partitions, so that a round over a small one is one task
+    without an exchange and a large one is spread.
     """
     ensure_checkpoint_folder(points.sparkSession)
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    return points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).repartition(cores, "x", "y").checkpoint()
+    hist = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    tasks = max(1, -(-hist.count() // rows_per_task))
+    now = hist.rdd.getNumPartitions()
+    return hist.coalesce(tasks) if tasks <= now else hist.repartition(tasks, "x", "y")
 
 
 def seeds(points: DataFrame, kernels: int, labels: int, spread: int, seed: int = 42) -> DataFrame:
@@ -83,6 +86,7 @@ def step(hist: DataFrame, centres: Sequence[Centre]) -> DataFrame:
 def fit(hist: DataFrame, centres: Sequence[Centre], eta: float = ETA, max_iterations: int = MAX_ITERATIONS) -> tuple[list[Centre], int]:
     """Centres after convergence and the iterations taken.
 
+    As many iterations as ``max_iterations`` mean that it did not converge.
     Each round is one job over the histogram; only the centres (one row per kernel) come to
     the driver. A cluster without points keeps its centre.
     """

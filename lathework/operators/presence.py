@@ -131,6 +131,29 @@ def repeated_alerts(events: DataFrame, stay: DataFrame, last: DataFrame, limit:
     return pairs.select("now", "child", "start_ts", "room")
 
 
+def repeat_counts(events: DataFrame, stay: DataFrame, last: DataFrame, limit: str, bucket_micros: int, room: str | None = None) -> DataFrame:
+    """(``child``, ``start_ts``, ``room``, ``due_ts``, ``until``, ``n``): how often each due alert is repeated, without its repeats.
+
+    The events from ``due_ts`` to before ``until`` are those before the one less those before the
+    other. Events before a time are a running count inside its bucket plus the counts of
+    earlier buckets, so every row takes part once and no event meets an alert.
+    """
+    spans = due_stays(stay, last, limit, room).withColumn(
+        "until", F.coalesce(F.col("end_ts"), last.scalar() + F.expr("interval '1 microsecond'"))
+    ).select("child", "start_ts", "room", "due_ts", "until")
+    edges = spans.select(
+        *spans.columns, F.inline(F.array(
+            F.struct(F.col("due_ts").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("until").alias("t"), F.lit(1).alias("sign")))))
+    marks = edges.withColumn("hit", F.lit(0)).unionByName(
+        events.select(F.col("ts").alias("t"), F.lit(1).alias("hit")), allowMissingColumns=True)
+    marks = marks.withColumn("bucket", F.floor(_micros(F.col("t")) / F.lit(bucket_micros)))
+    inside = Window.partitionBy("bucket").orderBy("t", "hit").rowsBetween(Window.unboundedPreceding, 0)  # an edge comes before events of its time
+    counts = marks.groupBy("bucket").agg(F.sum("hit").alias("m"))
+    earlier = counts.select("bucket", (F.sum("m").over(Window.orderBy("bucket")) - F.col("m")).alias("earlier"))  # one row per bucket
+    before = marks.withColumn("running", F.sum("hit").over(inside)).where("sign IS NOT NULL").join(earlier, "bucket")
+    return before.groupBy("child", "start_ts", "room", "due_ts", "until").agg(F.sum(F.col("sign") * (F.col("running") + F.col("earlier"))).alias("n"))
+
+
 def room_stats(stay: DataFrame, last: DataFrame, rooms: Sequence[str], origin: str, width: str) -> DataFrame:
     """(``bucket``, ``room``, ``n``): distinct children per room and time bucket, zeros kept.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lathework.operators import kmeans as km
 from lathework.operators import posts as po
 from lathework.registry.tables import table
+from lathework.session import scratch_folder
 
 TAGS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 FIXED_CENTRES = [(i * po.SPREAD, 100 * j + 50) for i in range(len(TAGS)) for j in range(9)]
@@ -44,22 +45,38 @@ def kmeans_step(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    hist = km.histogram(_points(spark, folder))
-    centres, _ = km.fit(hist, km.starting_centres(_seeds(spark, folder), km.KERNELS))
-    return hist, centres
+    """The points are written once; the histogram and the seeds read them from there."""
+    out = scratch_folder(spark)
+    points = _points(spark, folder)
+    points.write.parquet(out)
+    points = spark.read.schema(points.schema).parquet(out)
+    hist = km.histogram(points)
+    drawn = km.seeds(points, km.KERNELS, len(TAGS), po.SPREAD)
+    return hist, *km.fit(hist, km.starting_centres(drawn, km.KERNELS))
 
 
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    hist, centres = _fitted(spark, folder)
+    hist, centres, _ = _fitted(spark, folder)
     return km.centres_frame(hist, centres)
 
 
+def kmeans_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rounds the fit took and whether it converged."""
+    hist, _, taken = _fitted(spark, folder)
+    return hist.sparkSession.range(1).select(F.lit(taken).alias("rounds"), F.lit(taken < km.MAX_ITERATIONS).alias("converged"))
+
+
+def kmeans_seeds_global(spark: SparkSession, folder: str) -> DataFrame:
+    """Seeds of a narrow spread, drawn from all points alike."""
+    return km.seeds(_points(spark, folder), km.KERNELS, len(TAGS), km.GLOBAL_SAMPLE_BELOW - 1)
+
+
 def cluster_report(spark: SparkSession, folder: str) -> DataFrame:
-    hist, centres = _fitted(spark, folder)
+    hist, centres, _ = _fitted(spark, folder)
     return km.cluster_report(hist, centres, po.SPREAD, TAGS)
 
 
-QUERIES = {f.__name__: f for f in (post_scores, kmeans_seeds, kmeans_step, kmeans, cluster_report)}
+QUERIES = {f.__name__: f for f in (post_scores, kmeans_seeds, kmeans_seeds_global, kmeans_step, kmeans, kmeans_rounds, cluster_report)}
 
 _POINTS = """pts AS (
     SELECT o_orderkey AS id, CAST((list_position([""" + ", ".join(f"'{t}'" for t in TAGS) + f"""], o_orderpriority) - 1) * {po.SPREAD} AS BIGINT) AS x,
@@ -91,6 +108,8 @@ ORACLE = {
     "kmeans_step": "WITH " + _POINTS + ", c(idx, x, y) AS (VALUES " + ", ".join(f"({i}, {x}, {y})" for i, (x, y) in enumerate(FIXED_CENTRES)) + f""")
         SELECT CAST(idx AS INTEGER) AS idx, CAST(sum(x * n) // sum(n) AS BIGINT) AS x, CAST(sum(y * n) // sum(n) AS BIGINT) AS y, CAST(sum(n) AS BIGINT) AS n FROM (
             SELECT {_NEAREST} AS idx, h.x, h.y, any_value(h.n) AS n FROM hist h CROSS JOIN c GROUP BY h.x, h.y) GROUP BY idx""",
+    "kmeans_seeds_global": "WITH " + _POINTS + f"SELECT x, y FROM pts ORDER BY md5('42:' || id), id LIMIT {km.KERNELS}",
+    "kmeans_rounds": _LOOP + f"SELECT CAST(max(it) AS INTEGER) AS rounds, max(it) < {km.MAX_ITERATIONS} AS converged FROM loop",
     "kmeans": _LOOP + "SELECT idx, x, y FROM centres",
     "cluster_report": _LOOP + f"""
         , placed AS (SELECT {_NEAREST} AS idx, h.x, h.y, any_value(h.n) AS n FROM hist h CROSS JOIN centres c GROUP BY h.x, h.y),

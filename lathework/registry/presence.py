@@ -65,7 +65,13 @@ def unsafe_alert_repeat(spark: SparkSession, folder: str) -> DataFrame:
     return presence.repeated_alerts(events, stay, last, UNSAFE_LIMIT, bucket, UNSAFE_ROOM)
 
 
-QUERIES = {f.__name__: f for f in (stays, location_log, missing_alert, unsafe_alert, unsafe_alert_repeat, room_stats, child_stats)}
+def unsafe_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
+    events, stay, last = _parts(spark, folder)
+    counts = presence.repeat_counts(events, stay, last, UNSAFE_LIMIT, 6 * 3600 * 1_000_000, UNSAFE_ROOM)
+    return counts.select("child", "start_ts", "room", "due_ts", "n")
+
+
+QUERIES = {f.__name__: f for f in (stays, location_log, missing_alert, unsafe_alert, unsafe_alert_repeat, unsafe_alert_counts, room_stats, child_stats)}
 
 _STAYS = f"""WITH ev AS (
     SELECT user_id AS child, event_type AS room, ts AS start_ts,
@@ -99,6 +105,12 @@ ORACLE = {
     "unsafe_alert_repeat": _STAYS + f"""
         SELECT e.ts AS now, s.child, s.start_ts, s.room FROM events e JOIN s
         ON e.ts >= s.start_ts + INTERVAL '{UNSAFE_LIMIT}' AND (s.end_ts IS NULL OR e.ts < s.end_ts) WHERE s.room = '{UNSAFE_ROOM}'""",
+    "unsafe_alert_counts": _STAYS + f"""
+        SELECT s.child, s.start_ts, s.room, s.start_ts + INTERVAL '{UNSAFE_LIMIT}' AS due_ts, count(e.ts) AS n FROM s LEFT JOIN events e
+        ON e.ts >= s.start_ts + INTERVAL '{UNSAFE_LIMIT}' AND (s.end_ts IS NULL OR e.ts < s.end_ts)
+        WHERE s.room = '{UNSAFE_ROOM}' AND (s.end_ts > s.start_ts + INTERVAL '{UNSAFE_LIMIT}'
+              OR (s.end_ts IS NULL AND s.start_ts + INTERVAL '{UNSAFE_LIMIT}' <= (SELECT last_ts FROM last)))
+        GROUP BY ALL""",
     "room_stats": _STAYS + _GRID + ", rooms AS (SELECT unnest([" + ", ".join(f"'{r}'" for r in ROOMS) + """]) AS room)
         SELECT g.bucket, r.room, count(DISTINCT c.child) AS n
         FROM grid g CROSS JOIN rooms r LEFT JOIN c ON c.bucket = g.bucket AND c.room = r.room GROUP BY ALL""",
