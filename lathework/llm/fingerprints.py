@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,16 +90,38 @@ def densified(minima: Column, bins: int = BINS, probes: int = PROBES) -> Column:
 
 
 def fingerprint(text: Column, size: int = SHINGLE) -> Column:
-    """Two hexadecimal digits per bin."""
-    codes = densified(bin_minima(shingle_hashes(text, size)))
-    return F.array_join(F.transform(codes, lambda v: F.lpad(F.lower(F.hex(v.bitwiseAND(F.lit((1 << CODE_BITS) - 1)))), CODE_BITS // 4, "0")), "")
+    """The low bits of all bins, packed into 64-bit integers, the first bin in the highest bits."""
+    per_word = 64 // CODE_BITS
+
+    def packed(codes: Column) -> Column:
+        low = lambda c: c.bitwiseAND(F.lit((1 << CODE_BITS) - 1))
+        parts = lambda w: [F.shiftleft(low(F.get(codes, w * per_word + k)), CODE_BITS * (per_word - 1 - k)) for k in range(per_word)]
+        return F.transform(F.sequence(F.lit(0), F.lit(BINS // per_word - 1)), lambda w: reduce(lambda x, y: x.bitwiseOR(y), parts(w)))
+
+    return let(densified(bin_minima(shingle_hashes(text, size))), packed)
+
+
+def as_hex(print_: Column) -> Column:
+    """Two digits per bin."""
+    return F.lower(F.array_join(F.transform(print_, lambda v: F.lpad(F.hex(v), 16, "0")), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of agreeing bins less what chance gives, between 0 and 1."""
-    wide, chance = CODE_BITS // 4, 2.0**-CODE_BITS
-    same = F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.substring(a, i * wide + 1, F.lit(wide)) == F.substring(b, i * wide + 1, F.lit(wide))))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance)))
+    """The share of agreeing bins less what chance gives, between 0 and 1.
+
+    Two packed words differ in the codes of which their exclusive or has a bit; all bits of a code are gathered in its lowest.
+    """
+    lowest = F.lit(sum(1 << (CODE_BITS * k) for k in range(64 // CODE_BITS)))
+    chance = 2.0**-CODE_BITS
+
+    def gathered(v: Column, shift: int) -> Column:
+        return let(v, lambda x: x.bitwiseOR(F.shiftrightunsigned(x, shift)))
+
+    def differing(v: Column) -> Column:
+        return F.bit_count(gathered(gathered(gathered(v, 4), 2), 1).bitwiseAND(lowest))
+
+    other = F.aggregate(F.zip_with(a, b, lambda x, y: differing(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), ((BINS - other) / F.lit(float(BINS)) - chance) / (1 - chance)))
 
 
 def bucket_bounds(docs: DataFrame, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
@@ -144,15 +167,14 @@ def edited_fingerprints(docs: DataFrame, size: int = SHINGLE, rows_per_bucket: i
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
     bounds = bucket_bounds(docs, key, rows_per_bucket)
     rows = docs.select(key.alias("_key"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    led = with_successor(rows, "_key", ["text"], bounds, {"fp": F.unhex(fingerprint(F.col("text"), size))})
+    led = with_successor(rows, "_key", ["text"], bounds, {"fp": fingerprint(F.col("text"), size)})
     led = led.withColumn("n_chars", F.char_length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
-    own, following = F.lower(F.hex("fp")), F.lower(F.hex("next_fp"))
 
     def described(text: Column) -> Column:
-        return let(fingerprint(text, size), lambda e: let(own, lambda o: F.struct(
-            F.sha2(text.cast("binary"), 256).alias("edited_sha256"), o.alias("fingerprint"), e.alias("edited_fingerprint"),
-            likeness(o, e).alias("near_edited"), likeness(o, following).alias("near_next"))))
+        return let(fingerprint(text, size), lambda e: F.struct(
+            F.sha2(text.cast("binary"), 256).alias("edited_sha256"), as_hex(F.col("fp")).alias("fingerprint"), as_hex(e).alias("edited_fingerprint"),
+            likeness(F.col("fp"), e).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next")))
 
     return led.select("doc_id", "n_chars", let(edited, described).alias("_d")).select("doc_id", "n_chars", "_d.*")
