@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -51,9 +52,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[str] = []
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/lathework-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``drop_scratch`` removes it."""
+    folder = f"{shared_folder(spark).rstrip('/')}/lathework-{uuid.uuid4().hex}"
+    _scratch.append(folder)
+    return folder
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes the tables that operators have written below the shared folder, once their results are no longer needed.
+
+    DataFrames that read them cannot be evaluated afterwards. Checkpoints are Spark's own and
+    go with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def ensure_checkpoint_folder(spark: SparkSession) -> None:

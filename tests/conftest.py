@@ -7,13 +7,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lathework.session import local_session  # noqa: E402
+from lathework.session import drop_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores=os.environ.get("TEST_CPUS", "8"))
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -85,3 +85,17 @@ def test_line_sink_and_split(spark, rows, tmp_path):
     even = F.col("id") % 2 == 0
     sinks.write_split(df, [(even, str(tmp_path / "e")), (~even, str(tmp_path / "odd"))])
     assert spark.read.parquet(str(tmp_path / "e")).count() == 5 and spark.read.parquet(str(tmp_path / "odd")).count() == 5
+
+
+def test_scratch_is_dropped(spark):
+    from lathework import session
+    kept, session._scratch[:] = list(session._scratch), []
+    try:
+        folder = session.scratch_folder(spark)
+        spark.range(3).write.parquet(folder)
+        assert spark.read.parquet(folder).count() == 3
+        session.drop_scratch(spark)
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(folder)
+    finally:
+        session._scratch[:] = kept
