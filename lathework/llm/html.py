@@ -74,8 +74,17 @@ class Token:
 def tokens(page: str) -> Iterator[Token]:
     """Tags and texts in page order, each with its kind."""
     stack: list[tuple[str, bool]] = []  # block elements that are open, and whether they are furniture
+    open_names: Counter = Counter()
     hidden, linked, article, at = 0, 0, 0, 0
     length = len(page)
+
+    def close(begin: int) -> tuple[int, int]:
+        """Ends the elements from ``begin`` on; how many of them were furniture and articles."""
+        gone = stack[begin:]
+        del stack[begin:]
+        open_names.subtract(n for n, _ in gone)
+        return sum(f for _, f in gone), sum(n in ("article", "main") for n, _ in gone)
+
     while at < length:
         m = TOKEN.match(page, at)
         at = max(m.end(), at + 1)
@@ -91,13 +100,10 @@ def tokens(page: str) -> Iterator[Token]:
         if m["end"]:
             if name == "a":
                 linked = 0
-            opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
             token = Token("furniture tag" if hidden else f"tag {name}", breaks=name in BLOCKS, furniture=hidden > 0, labelled=article > 0 and not hidden)
-            if opened >= 0:
-                hidden -= sum(f for _, f in stack[opened:])
-                article -= sum(n in ("article", "main") for n, _ in stack[opened:])
-                del stack[opened:]
-                linked = 0
+            if open_names[name] > 0:
+                furniture, articles = close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
+                hidden, article, linked = hidden - furniture, article - articles, 0
             yield token
             continue
         if not m["close"]:
@@ -110,9 +116,7 @@ def tokens(page: str) -> Iterator[Token]:
         if name in BLOCKS:
             for i in range(len(stack) - 1, -1, -1):
                 if name in ENDED_BY_SIBLING.get(stack[i][0], ()):
-                    hidden -= sum(f for _, f in stack[i:])
-                    del stack[i:]
-                    linked = 0
+                    hidden, linked = hidden - close(i)[0], 0
                 elif stack[i][0] not in ENDED_BY_SIBLING:
                     break
         furniture = name in FURNITURE or (name == "header" and not article) or _furniture_class(m["rest"])
@@ -120,6 +124,7 @@ def tokens(page: str) -> Iterator[Token]:
             linked = 1
         if name not in VOID and (name in BLOCKS or furniture):
             stack.append((name, furniture))
+            open_names[name] += 1
             hidden += furniture
             article += name in ("article", "main")
         yield Token("furniture tag" if hidden else f"tag {name}", breaks=name in BLOCKS, furniture=hidden > 0, labelled=article > 0 and not hidden)
