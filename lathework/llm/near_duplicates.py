@@ -6,9 +6,11 @@ one class, whose smallest id stands for it; only these are compared.
 
 Candidates share a band. A band's bucket is not paired up: all members are compared with
 the smallest one (the pivot). Links give components; a bucket whose members are in one
-component needs no further comparison. In the other buckets, the members outside the
-bucket's largest component are compared with the members of other components. After that
-every two candidates have been compared or are in one component already, so no component is missed.
+component needs no further comparison. The members of the other buckets are grouped anew by their
+rarest shingles, of which two linked texts must share one, and within such a group those outside
+its largest component are compared with those of other components, where places and sizes allow a link. After that every two
+candidates have been compared, are in one component already, or cannot be linked, so no component is
+missed, and a passage that many texts share brings no pairs.
 
 A pair is compared in batches of ``STEP`` minima. With a uniform prior, the share of
 agreeing minima gives the posterior of the similarity; a pair is pruned as soon as the chance
@@ -41,8 +43,10 @@ BANDS = 25
 ROWS = 5
 STEP = 25
 MISS = 1e-6
-MOST_CACHED = 400_000
+MOST_CACHED = 150_000
 AT_ONCE = 4096
+BITMAP_BITS = 1 << 23
+COUNTERS = 1 << 18
 
 SIGNED = "doc_id bigint, n_shingles bigint, words_digest binary, signature binary, bands array<bigint>"
 
@@ -213,13 +217,28 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def rows_of(docs: DataFrame, ids: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """``doc_id`` and ``text`` of the documents in ``ids``.
+
+    A bitmap of the ids, ``bits`` / 64 rows at most, is broadcast first, so that few other texts are exchanged.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = (
+        ids.select(place(F.col("doc_id")).alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_mask"))
+    )
+    marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("_bit", place(F.col("doc_id")))
+    near = marked.withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word").where(F.expr("shiftright(_mask, cast(_bit % 64 as int)) & 1 = 1"))
+    return near.select("doc_id", "text").join(ids, "doc_id")
+
+
 def _compare(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The linked ones of ``pairs`` (``a``, ``b``): signatures first, then texts of what is left."""
     one = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
     two = signatures.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
     left = kept(survivors(pairs.join(one, "a").join(two, "b"), percent))
     ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
-    texts = kept(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id"))
+    texts = kept(rows_of(docs, ids))
     with_texts = (
         left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -227,23 +246,74 @@ def _compare(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, size: int
     return kept(confirmed(with_texts, size, percent).distinct())
 
 
-def _pivot_pairs(members: DataFrame) -> DataFrame:
-    pivots = members.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("_most")).where("a < _most").drop("_most")
-    return members.join(pivots, "band").where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
+def rare_shingles(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id``, ``n``, ``place`` and ``key`` of the rarest shingles of every text, rarest first.
 
+    A link needs ``percent`` of either set in common, so all but that share and one more, in any order that is
+    the same for all texts, meet. The order is by counts of hash remainders over all
+    ``texts`` (``COUNTERS`` numbers), then by hash, so shingles that many texts share come last.
+    """
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for batch in batches:
+            found = [shingle_hashes(words_of(t.as_py()), cache, size).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "hashes"])
 
-def _open_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components, one of them outside its largest component."""
-    known = members.join(labels, members["doc_id"] == labels["node"], "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = known.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("_main"), F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
-    marked = kept(known.join(mixed.select("band", F.col("_main.component").alias("main")), "band"))
-    outside = marked.where("component != main").select("band", F.col("doc_id").alias("o"), F.col("component").alias("co"))
-    return (
-        outside.join(marked, "band").where((F.col("co") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("o") < F.col("doc_id"))))
-        .select(F.least("o", "doc_id").alias("a"), F.greatest("o", "doc_id").alias("b")).distinct()
+    hashed = kept(texts.select("doc_id", "text").mapInArrow(hashes, "doc_id bigint, hashes array<bigint>"))
+    counted = hashed.select(F.explode("hashes").alias("h")).groupBy(F.pmod("h", F.lit(COUNTERS)).cast("int").alias("at")).count().toArrow()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[counted.column("at").to_numpy()] = counted.column("count").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes = [], []
+            for row in batch.column(1):
+                h = row.values.to_numpy()
+                order = np.lexsort((h, shared.value[np.mod(h, COUNTERS)]))
+                keys.append(h[order[:len(h) + percent * -len(h) // 100 + 1]] if len(h) else h)
+                sizes.append(len(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "keys"])
+
+    return hashed.mapInArrow(rarest, "doc_id bigint, n bigint, keys array<bigint>").select("doc_id", "n", F.posexplode("keys").alias("place", "key"))
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of bands that more than one document has, with the band's smallest one, ``pivot``."""
+    pivots = members.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("_most")).where("pivot < _most").drop("_most")
+    return members.join(pivots, "band")
+
+
+def _mixed(members: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """Members of the groups that hold more than one component, with their own and the group's largest one, ``main``."""
+    known = members.join(labels, members["doc_id"] == labels["node"], "left").withColumn("component", F.coalesce("component", "doc_id")).drop("node")
+    sizes = known.groupBy(key, "component").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = sizes.groupBy(key).agg(F.max(F.struct("_n", "component")).alias("_main"), F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
+    return known.join(mixed.select(key, F.col("_main.component").alias("main")), key)
+
+
+def _open_pairs(shared: DataFrame, labels: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of different components that share a rare shingle and may be linked by their sizes.
+
+    They are looked for among the documents of bands that hold more than one component. Of two
+    linked sets the smaller (by size, then id) has the pair's common share in the larger, so
+    it meets the other with fewer of its rarest shingles; and what follows the first common shingle on
+    either side must be enough for the overlap a link needs.
+    """
+    ids = kept(_mixed(shared.select("band", "doc_id"), labels, "band").select("doc_id").distinct())
+    rare = rare_shingles(rows_of(docs, ids), size, percent)
+    keys = kept(_mixed(rare, labels, "key").withColumn("outside", F.col("component") != F.col("main")))
+    least = lambda total: F.ceil(percent * total / (100 + percent))  # noqa: E731  # overlap of linked sets of ``total`` together
+    small = keys.where(F.col("place") <= F.col("n") - least(2 * F.col("n"))).select(
+        "key", *[F.col(c).alias(f"small_{c}") for c in ("doc_id", "n", "place", "component", "outside")])
+    need = least(F.col("small_n") + F.col("n"))
+    meet = (
+        (F.col("small_component") != F.col("component"))
+        & (F.struct("small_n", "small_doc_id") < F.struct("n", "doc_id"))
+        & (F.col("small_n") - F.col("small_place") >= need) & (F.col("n") - F.col("place") >= need)
     )
+    pairs = small.where("small_outside").join(keys, "key").where(meet).union(small.where("NOT small_outside").join(keys.where("outside"), "key").where(meet))
+    return pairs.select(F.least("small_doc_id", "doc_id").alias("a"), F.greatest("small_doc_id", "doc_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -252,11 +322,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = kept(table.where("n_shingles > 0").groupBy("words_digest").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
     own = classes.withColumnRenamed("words_digest", "_digest")
     reps = kept(table.join(own, (F.col("doc_id") == F.col("rep")) & (F.col("words_digest") == F.col("_digest")), "left_semi").select("doc_id", "signature", "bands"))
-    members = reps.select("doc_id", F.explode("bands").alias("band"))
-    first = kept(_pivot_pairs(members))
+    shared = kept(_shared(reps.select("doc_id", F.explode("bands").alias("band"))))
+    first = kept(shared.where("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = _compare(first, reps, docs, size, percent)
     labels = components(links)
-    second = _open_pairs(members, labels).join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    second = _open_pairs(shared, labels, docs, size, percent).join(first, ["a", "b"], "left_anti")
     more = _compare(kept(second), reps, docs, size, percent)
     contracted = more.join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
