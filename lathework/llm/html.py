@@ -57,7 +57,9 @@ FURNITURE = frozenset("aside button dialog fieldset footer form head iframe menu
 FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promotion recommended "
-    "related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+    "related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Words that make a header one of the text.
+TEXT_NAMES = frozenset("article content entry post story".split())
 ENDED_BY_SIBLING = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 
 
@@ -133,7 +135,11 @@ def tokens(page: str) -> Iterator[Token]:
 def _furniture_class(attributes: str) -> bool:
     if "=" not in attributes:
         return False
-    return any(w in FURNITURE_NAMES for m in CLASS.finditer(attributes) for w in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()))
+    for m in CLASS.finditer(attributes):
+        words = set(re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()))
+        if words & FURNITURE_NAMES or ("header" in words and not words & TEXT_NAMES):
+            return True
+    return False
 
 
 @dataclass

@@ -52,7 +52,7 @@ def test_furniture_goes_and_blocks_stay():
     (None, ""), ("", ""), ("<p></p>", ""), ("plain words", "plain words"), ("a < b and c > d", "a < b and c > d"),
     ("<p>cut off &am", "cut off &am"), ("<p>cut off<foot", "cut off"), ('<p>cut off<a href="x', "cut off"),
     ("<p>one<!-- two --> three", "one three"), ("<p>one<!-- never ends", "one"), ("<p>one<script>never ends", "one"), ("&#8364; 5", "€ 5"),
-    ("<P CLASS=x>Upper</P>", "Upper"), ("</p></div>stray", "stray"),
+    ("<div id=header>Site</div><p>The text</p><div class='article-header'>Its end</div>", "The text\nIts end"), ("<P CLASS=x>Upper</P>", "Upper"), ("</p></div>stray", "stray"),
 ])
 def test_odd_pages(page, text):
     assert h.main_text(page, h.Weights()) == text
