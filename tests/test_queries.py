@@ -33,3 +33,14 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("word_count_sorted", ["-n", "word"]), ("word_count_top10", ["-n", "word"]), ("tag_counts", ["-n", "tag"]),
+    ("significance", ["-n", "vertex"]), ("top_bigram_by_initial", ["initial"]), ("blocked_by_source", ["-n", "source"]),
+])
+def test_sorted_queries_come_in_order(spark, name, columns):
+    """The comparison with SQL sorts both sides, so the order itself is looked at here."""
+    rows = driver.queries()[name](spark, FOLDER).collect()
+    keys = [tuple(-r[c[1:]] if c[0] == "-" else r[c] for c in columns) for r in rows]
+    assert keys == sorted(keys) and len(keys) > 1
