@@ -27,7 +27,7 @@ from lathework.session import scratch_folder
 
 SHARDS = 8
 BITS = 4
-ROWS_PER_SLICE = 50_000
+ROWS_PER_SLICE = 5_000
 
 
 def hilbert_index(axes: list[Column], bits: int) -> Column:
@@ -114,7 +114,7 @@ def sharded(rows: DataFrame, curve: str, key: list[str], shards: int = SHARDS, r
 
 
 def document_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Curve over language, source and size; equal texts of a cell lie side by side.
+    """Curve over language, source and size; within a cell of the curve a hash decides.
 
     The narrow rows are written once below the shared folder, so texts are read once.
     """
