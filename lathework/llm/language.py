@@ -7,7 +7,7 @@ text's logits are the mean over its windows, weighted by their filled places, so
 counts and nothing is cut off. For prediction neighbouring places share tables of byte pairs.
 
 The fit sees at most ``per_language`` texts of each language (those with the smallest hashes
-of doc_id), one stretch of ``STRETCH`` characters of each.
+of doc_id, in the ``MOST_LANGUAGES`` most frequent languages), one stretch of ``STRETCH`` characters of each.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every
 text if no language could be learnt; repeated rows are predicted alike; further columns are kept.
@@ -34,6 +34,8 @@ BATCHES = 700
 BATCH = 128
 RATE = 0.02
 AT_ONCE = 1024
+HASHES = 1 << 40
+MOST_LANGUAGES = 1_000
 UNKNOWN = "und"
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -53,11 +55,8 @@ def to_bytes(text: str) -> bytes:
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows in one row of bytes (with AHEAD more at the end), the text of each, its filled places.
-
-    At least AHEAD empty places follow every text, so no filter reads into the next one.
-    """
-    counts = np.array([-(-(len(t) + AHEAD) // WINDOW) for t in texts], dtype=np.int64)
+    """All windows in one row of bytes (with AHEAD more at the end), the text of each, its filled places."""
+    counts = np.array([-(-len(t) // WINDOW) for t in texts], dtype=np.int64)
     out = np.zeros(int(counts.sum()) * WINDOW + AHEAD, dtype=np.uint8)
     begin = np.concatenate([[0], np.cumsum(counts)])
     filled = np.full(int(counts.sum()), WINDOW, dtype=np.float64)
@@ -65,8 +64,7 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = int(begin[i]) * WINDOW
         out[at:at + len(t)] = np.frombuffer(t, dtype=np.uint8)
         if counts[i]:
-            part = np.clip(len(t) - WINDOW * np.arange(max(0, counts[i] - 2), counts[i]), 0, WINDOW)
-            filled[begin[i + 1] - len(part):begin[i + 1]] = part
+            filled[begin[i + 1] - 1] = len(t) - WINDOW * (counts[i] - 1)
     return out, np.repeat(np.arange(len(texts)), counts), filled
 
 
@@ -81,30 +79,34 @@ class Reader:
         self.three, self.three_last = pair(three[0], three[1]), three[2].astype(np.float32)
         self.four, self.four_last = pair(four[0], four[1]), pair(four[2], four[3])
 
-    def pooled(self, data: np.ndarray) -> np.ndarray:
-        """The rectified largest answer per window and filter."""
-        n = (len(data) - AHEAD) // WINDOW
+    def pooled(self, data: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The rectified largest answer per window and filter.
+
+        A window's last places read on into the next window of the same text, or into empty places.
+        """
+        n = len(owner)
+        last = np.append(owner[1:] != owner[:-1], True)[:n]
+        rows = np.lib.stride_tricks.sliding_window_view(data, WINDOW + AHEAD)[::WINDOW]
         out = np.empty((n, len(WIDTHS) * FILTERS), dtype=np.float32)
         for at in range(0, n, AT_ONCE):
             upto = min(n, at + AT_ONCE)
-            b = data[at * WINDOW:upto * WINDOW + AHEAD].astype(np.int32)
-            m = len(b) - AHEAD
-            pairs = b[:-1] * 256 + b[1:]
-            shape = (upto - at, WINDOW, FILTERS)
-            first, later = pairs[:m], pairs[2:m + 2]
+            b = rows[at:upto].astype(np.int32)
+            b[last[at:upto], WINDOW:] = 0
+            pairs = b[:, :-1] * 256 + b[:, 1:]
+            first, later = pairs[:, :WINDOW], pairs[:, 2:]
             answers = (
                 self.two[first],
-                self.three[first] + self.three_last[b[2:m + 2]],
+                self.three[first] + self.three_last[b[:, 2:WINDOW + 2]],
                 self.four[first] + self.four_last[later],
             )
             for i, a in enumerate(answers):
-                out[at:upto, i * FILTERS:(i + 1) * FILTERS] = a.reshape(shape).max(axis=1)
+                out[at:upto, i * FILTERS:(i + 1) * FILTERS] = a.max(axis=1)
         return np.maximum(out + self.net.biases.astype(np.float32), 0)
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         """One row per text; uniform for a text of no bytes."""
         data, owner, filled = windows(texts)
-        logits = self.pooled(data) @ self.net.weights + self.net.offsets
+        logits = self.pooled(data, owner) @ self.net.weights + self.net.offsets
         total = np.zeros((len(texts), len(self.net.languages)))
         np.add.at(total, owner, logits * filled[:, None])
         total /= np.maximum(np.bincount(owner, filled, minlength=len(texts)), 1)[:, None]
@@ -176,11 +178,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETCH) -> DataFrame:
-    """``text`` and ``lang``; ranks beyond ``per_language`` are dropped before the exchange as well as after it."""
-    mixed = F.xxhash64("doc_id", "text")
+    """``text`` and ``lang`` of at most ``per_language`` texts of each language.
+
+    Languages are counted first; a threshold on the hash, so that about twice as many texts as
+    needed pass, keeps the ranking to a bounded number of rows of each language.
+    """
+    mixed = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
     at = (F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - stretch, F.lit(1))) + 1).cast("int")
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    part = labelled.select("doc_id", "lang", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(MOST_LANGUAGES)
+    share = counts.select("lang", F.ceil(F.lit(2.0 * per_language * HASHES) / F.col("_n") + 64).alias("_below"))
+    part = labelled.join(F.broadcast(share), "lang").where(mixed < F.col("_below")).select(
+        "doc_id", "lang", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_mixed", "doc_id", "text"))
     return part.withColumn("_rank", rank).where(F.col("_rank") <= per_language).orderBy("lang", "_rank").select("text", "lang")
 
