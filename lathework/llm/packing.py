@@ -32,7 +32,7 @@ from lathework.session import scratch_folder
 CAPACITY = 2048
 CUT = 512
 BLOCK = 4096
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 700_000
 END_ID = 1
 AHEAD = 1024
 
@@ -132,15 +132,15 @@ def _split(text: str) -> list[str]:
 
 
 @functools.lru_cache(maxsize=1)
-def word_table(tokenizer: str) -> WordIds:
-    """One table for all tasks of a Python worker."""
+def word_table(tokenizer: str, limit: int) -> WordIds:
+    """One table for all tasks of a Python worker; it takes about 300 bytes a word."""
     import public_tokenizers
 
-    return WordIds(public_tokenizers.path(tokenizer))
+    return WordIds(public_tokenizers.path(tokenizer), limit)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", cut: int = CUT, capacity: int = CAPACITY,
-                 end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+                 end_id: int = END_ID, with_ids: bool = False, cached_words: int = CACHED_WORDS) -> DataFrame:
     """Pieces of every document: full windows of ``capacity`` ids first, then the rest in pieces of at most ``cut`` ids.
 
     ``with_ids`` adds ``ids``, the piece's ids as little-endian unsigned 32-bit integers.
@@ -149,7 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", cut: int
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_table(tokenizer)
+        words = word_table(tokenizer, cached_words)
         for batch in batches:
             out: list[list] = [[] for _ in range(6 if with_ids else 5)]
             for doc_id, ids in zip(batch.column(0).to_pylist(), words.batch(batch.column(1))):
@@ -249,10 +249,11 @@ def pack(pieces: DataFrame, count: int, capacity: int = CAPACITY, block: int = B
     return dealt.groupBy("_block").applyInPandas(lambda rows: pack_block(rows, capacity), PACKED)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, cut: int = CUT, block: int = BLOCK) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, cut: int = CUT, block: int = BLOCK,
+                     cached_words: int = CACHED_WORDS) -> DataFrame:
     """Tokenise once into a table below the shared folder, then pack its pieces."""
     spark = docs.sparkSession
     folder = scratch_folder(spark)
-    token_pieces(docs, tokenizer, cut, capacity).write.parquet(folder)
+    token_pieces(docs, tokenizer, cut, capacity, cached_words=cached_words).write.parquet(folder)
     pieces = spark.read.schema(PIECES).parquet(folder)
     return pack(pieces, pieces.count(), capacity, block)

@@ -36,7 +36,6 @@ LEAST_CHI_SQUARE = 20.0
 RIDGE = 1e-4
 COUNTERFACTUAL = 1.0
 ROUNDS = 200
-MOST_CACHED = 500_000
 BIAS, LENGTH = 0, 1
 
 #: Mentions of groups that must not move a score.
@@ -184,15 +183,19 @@ def fit(texts: list[str], labels: list[int], terms: list[str] = IDENTITY_TERMS,
     return Model(names, float(w[BIAS]), float(w[LENGTH]))
 
 
-def score_counts(model: Model, counts: Counter, cache: dict[str, list]) -> float:
-    """``cache`` holds the weighted features of words, so that a word is taken apart once."""
+def beginnings(model: Model) -> frozenset[str]:
+    """The first letters of all features' words; a word that begins otherwise has no feature."""
+    return frozenset(f.split(":", 1)[1][:STEMS[0]] for f in model.weights)
+
+
+def score_counts(model: Model, counts: Counter, begins: frozenset[str] | None = None) -> float:
+    begins = beginnings(model) if begins is None else begins
     totals: Counter = Counter()
     for word, n in counts.items():
-        known = cache.get(word)
-        if known is None:
-            known = cache[word] = [f for f in word_features(word) if f in model.weights]
-        for f in known:
-            totals[f] += n
+        if word[:STEMS[0]] in begins:
+            for f in word_features(word):
+                if f in model.weights:
+                    totals[f] += n
     z = model.bias + model.length * np.log1p(counts.total()) + sum(model.weights[f] * np.log1p(n) for f, n in sorted(totals.items()))
     return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
@@ -232,13 +235,9 @@ def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + f", `{out}` double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, list] = {}
+        begins = beginnings(model)
         for batch in batches:
-            scores = []
-            for text in batch.column(names.index("text")):
-                if len(cache) > MOST_CACHED:
-                    cache.clear()
-                scores.append(score_counts(model, word_counts(text.as_py()), cache))
+            scores = [score_counts(model, word_counts(t.as_py()), begins) for t in batch.column(names.index("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, out])
 
     return kept.mapInArrow(score, schema)
