@@ -22,10 +22,12 @@ from lathework.llm import decontamination, near_duplicates, packing, pii, toxici
 from lathework.registry.tables import table
 from lathework.session import scratch_folder
 
+CACHED_WORDS = 150_000  # the table outlives its stage in Python workers that the other stages use too
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
-    mark = "_toxic_score"
+    mark = "_toxic_score" + "_" * max(map(len, docs.columns), default=0)  # a name no column has
     return toxicity.scored(docs, model, mark).where(F.col(mark) < 0.5).select(*docs.columns)
 
 
@@ -47,7 +49,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(docs.select("doc_id", "text"))
+    return packing.packed_documents(docs.select("doc_id", "text"), cached_words=CACHED_WORDS)
 
 
 STAGES = [
