@@ -1,7 +1,7 @@
 """A training corpus in five stages, each a Spark job over all that its predecessor kept.
 
 toxicity        documents that the classifier rejects go
-near_duplicates one document of each group of near-duplicates stays
+near_duplicates one document of each group of near-duplicates (0.8 of the shingles of five words) stays
 decontamination documents that cover a benchmark item go
 personal_data   spans of personal data give way to their kind in brackets
 packing         the texts' ids in windows of 2048
@@ -22,6 +22,7 @@ from lathework.llm import decontamination, near_duplicates, packing, pii, toxici
 from lathework.registry.tables import table
 from lathework.session import scratch_folder
 
+SHINGLE = 5  # words; the two words of op10's query are its own contract
 CACHED_WORDS = 150_000  # the table outlives its stage in Python workers that the other stages use too
 
 
@@ -33,7 +34,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named, nameless = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
-    groups = near_duplicates.near_duplicates(named.select("doc_id", "text")).where("kept")
+    groups = near_duplicates.near_duplicates(named.select("doc_id", "text"), size=SHINGLE).where("kept")
     kept = named.join(groups.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).union(nameless.dropDuplicates(["text"]))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from lathework.llm import near_duplicates, packing
@@ -64,3 +65,20 @@ def test_odd_documents(spark, odd_documents, no_documents):
 
 def test_run_equals_the_stages(spark, stages):
     assert sorted(map(tuple, cp.run(spark, FOLDER).collect())) == sorted(map(tuple, stages[4][1].collect()))
+
+
+def test_near_duplicates_are_of_five_words(spark):
+    """Documents of the driver table that are near-duplicates at two words and not at five stay."""
+    def sets(text):
+        w = text.lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+    ids = [56, 547, 212, 2250]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(F.col("doc_id").isin(ids))
+    copies = docs.where("doc_id = 56").withColumn("doc_id", F.lit(9_000_000).cast("bigint")).withColumn("text", F.concat("text", F.lit(" end")))
+    docs = docs.union(copies.select(*docs.columns)).cache()
+    texts = {r.doc_id: sets(r.text) for r in docs.collect()}
+    assert len(texts) == 5
+    want = {b for b in texts if not any(a < b and 100 * len(texts[a] & texts[b]) >= 80 * len(texts[a] | texts[b]) for a in texts)}
+    assert want == set(ids)
+    assert {r.doc_id for r in cp.one_of_each_group(spark, docs, FOLDER).collect()} == want
