@@ -37,6 +37,13 @@ def _events_table(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
+def _delay(spark: SparkSession, folder: str) -> str:
+    """The time span of the whole table (a second more, as watermarks count whole milliseconds): no order of its files makes a row late."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = _events_table(spark, folder).agg(F.max(at) - F.min(at)).first()[0]
+    return f"{(span or 0) // 1_000_000 + 1} seconds"
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return sources.stream_table(spark, folder, "events").select(
         "ts", F.col("user_id").alias("child"), F.col("event_type").alias("room"), F.col("event_id").alias("seq"))
@@ -51,7 +58,7 @@ def _child():
 
 
 def _alerts(spark: SparkSession, folder: str, limit: str, room: str | None) -> DataFrame:
-    due = sp.due_stays(_events(spark, folder), limit, room, batch.EXIT_ROOM)
+    due = sp.due_stays(_events(spark, folder), limit, room, batch.EXIT_ROOM, _delay(spark, folder))
     ended = _ended(due, sp.DueStays(sp.micros(limit), room, batch.EXIT_ROOM), folder, "due_ts")
     return sp.with_phones(ended, batch._registrations(spark, folder)).select(_child(), _time("due_ts"), _time("start_ts"), "room", "phone")
 
@@ -65,13 +72,13 @@ def stream_unsafe_alert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_location_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = sp.location_log(_events(spark, folder), ORIGIN_US, batch.EVERY, batch.EXIT_ROOM)
+    log = sp.location_log(_events(spark, folder), ORIGIN_US, batch.EVERY, batch.EXIT_ROOM, _delay(spark, folder))
     ended = _ended(log, sp.Ticks(ORIGIN_US, sp.micros(batch.EVERY), batch.EXIT_ROOM), folder, "tick")
     return ended.select(_time("tick"), _child(), _time("start_ts"), "room")
 
 
 def _occupied(spark: SparkSession, folder: str) -> DataFrame:
-    occupied = sp.occupancy(_events(spark, folder), ORIGIN_US, batch.WIDTH, batch.EXIT_ROOM)
+    occupied = sp.occupancy(_events(spark, folder), ORIGIN_US, batch.WIDTH, batch.EXIT_ROOM, _delay(spark, folder))
     return _ended(occupied, sp.Buckets(ORIGIN_US, sp.micros(batch.WIDTH), batch.EXIT_ROOM), folder, "bucket")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import time
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from lathework import sinks, sources
 from lathework.functions.values import tiered
 from lathework.operators import presence
+from lathework.registry import presence as batch_queries
+from lathework.registry import streams
 from lathework.streaming import lines as sl
 from lathework.streaming import presence as sp
 from test_presence import ORIGIN, at, frames, random_events
@@ -174,3 +177,25 @@ def test_numbers_and_tally(spark, rows, tmp_path):
     writer.trigger(availableNow=True).start().awaitTermination(120)
     assert rows(sl.tally_lines(spark.table("tally"))) == [("adventure: 1",), ("history: 3",)]
     assert rows(sl.with_zeros(spark.table("tally"), ["history", "never", "never"])) == [("history", 3), ("never", 0)]
+
+
+@pytest.mark.parametrize("name", ["missing_alert", "unsafe_alert", "location_log", "room_stats", "child_stats"])
+def test_registered_queries_lose_no_row_of_files_out_of_order(spark, rows, tmp_path, monkeypatch, name):
+    """One file a batch, the latest times first."""
+    source = "/root/testdata/sf0.001"
+    (tmp_path / "customer.parquet").symlink_to(f"{source}/customer.parquet")
+    events = spark.read.parquet(f"{source}/events.parquet").orderBy("ts", "event_id").limit(300).cache()
+    times = [r[0] for r in events.select("ts").orderBy(F.desc("ts")).collect()]
+    bounds = [times[0], times[100], times[200]]
+    parts = [events.where(F.col("ts") > bounds[1]), events.where((F.col("ts") <= bounds[1]) & (F.col("ts") > bounds[2])), events.where(F.col("ts") <= bounds[2])]
+    (tmp_path / "events.parquet").mkdir()
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        (written,) = (tmp_path / f"w{i}").glob("part-*.parquet")
+        target = tmp_path / "events.parquet" / f"{i}.parquet"
+        target.write_bytes(written.read_bytes())
+        os.utime(target, (time.time() - 1000 + i, time.time() - 1000 + i))
+    monkeypatch.setattr(sources, "stream_table", functools.partial(sources.stream_table, bytes_per_batch=1))
+    want = batch_queries.QUERIES[name](spark, str(tmp_path))
+    got = streams.QUERIES[f"stream_{name}"](spark, str(tmp_path))
+    assert rows(got.select(*want.columns)) == rows(want) and want.count()
