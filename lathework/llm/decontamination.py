@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts are compared as lower-cased words. A seed is ``SEED`` words in a row; its running
+Texts are compared as lower-cased words; in scripts written without blanks every character is a
+word. A seed is ``SEED`` words in a row, or the whole of a shorter item; its running
 Karp-Rabin hash is a polynomial in the words' hashes. Seeds of the benchmark set bits in a
 bitmap of fixed size. One pass over the documents keeps the runs of words whose seeds hit the
 bitmap: every tile lies in such a run, so nothing else of a document travels. A seed join gives
@@ -10,8 +11,8 @@ The covered share of the item decides, so passages in another order are found as
 
 A larger benchmark fills the bitmap and lets more words through, but never loses any.
 
-Defined cases: null and empty texts match nothing; an item of fewer than ``SEED`` words has no
-tile and is never found; repeated documents are found as often as they occur (once per
+Defined cases: null and empty texts match nothing; an item of fewer than ``SEED`` words is found
+where all its words stand in a row; repeated documents are found as often as they occur (once per
 doc_id and item, with the larger coverage, if they share an id); a document without an id is
 not reported and not dropped; empty tables give no rows; further columns are kept by
 ``clean_documents`` and not read by ``contaminated``.
@@ -22,7 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,12 @@ BITMAP_BITS = 1 << 23
 MOST_CACHED = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
-WORD = re.compile(r"\w+")
+#: Han, kana, bopomofo, Thai, Lao, Myanmar, Khmer, Tai scripts and their marks.
+UNSPACED = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e81-\u0edf\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u17d7\u17dc-\u17e9\u1950-\u19da\u1a20-\u1a99"
+    "\u3005-\u3007\u3021-\u302f\u3031-\u3035\u3038-\u303c\u3041-\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9fe\uaa60-\uaadd\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff")
+WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 RUNS = "array<array<bigint>>"
 
 
@@ -59,7 +65,7 @@ def seed_hashes(words: np.ndarray, seed: int = SEED) -> np.ndarray:
     """The hash of every ``seed`` words in a row, modulo 2 ** 64."""
     if len(words) < seed:
         return np.empty(0, dtype=np.uint64)
-    out = np.zeros(len(words) - seed + 1, dtype=np.uint64)
+    out = np.full(len(words) - seed + 1, seed, dtype=np.uint64)
     for i in range(seed):
         out = out * BASE + words[i:len(words) - seed + 1 + i]
     return out ^ (out >> np.uint64(32))
@@ -115,17 +121,19 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def hashed_items(benchmark: DataFrame, seed: int = SEED) -> DataFrame:
-    """``item_id``, ``words`` and distinct ``seeds`` of every item."""
+    """``item_id``, ``words``, the ``length`` of its seeds and its distinct ``seeds`` of every item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             words = [word_hashes(t.as_py(), cache) for t in batch.column(1)]
-            seeds = [np.unique(seed_hashes(w, seed)) for w in words]
+            lengths = [min(seed, len(w)) for w in words]
+            seeds = [np.unique(seed_hashes(w, n)) if n else w for w, n in zip(words, lengths)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (words, seeds))], ["item_id", "words", "seeds"])
+                [batch.column(0), pa.array(lengths, pa.int32()), *(pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (words, seeds))],
+                ["item_id", "length", "words", "seeds"])
 
     plain = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    return plain.mapInArrow(run, "item_id bigint, words array<bigint>, seeds array<bigint>")
+    return plain.mapInArrow(run, "item_id bigint, length int, words array<bigint>, seeds array<bigint>")
 
 
 def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -140,8 +148,8 @@ def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little")
 
 
-def hit_runs(docs: DataFrame, bitmap: np.ndarray, seed: int = SEED) -> DataFrame:
-    """``doc_id``, ``runs`` of word hashes and their distinct ``seeds``, for documents that hit the bitmap."""
+def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED,)) -> DataFrame:
+    """``doc_id``, ``runs`` of word hashes and their distinct ``seeds`` of all ``lengths``, for documents that hit the bitmap."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))  # BITMAP_BITS / 8 bytes
     bits = len(bitmap)
 
@@ -151,15 +159,21 @@ def hit_runs(docs: DataFrame, bitmap: np.ndarray, seed: int = SEED) -> DataFrame
             ids, runs, seeds = [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 words = word_hashes(text.as_py(), cache)
-                hashes = seed_hashes(words, seed)
-                hit = there[np.mod(hashes.view(np.int64), bits)]
-                if not hit.any():
+                found, held = [], np.zeros(len(words) + 1, dtype=np.int32)  # +1 where a hit begins, -1 behind its end
+                for n in lengths:
+                    hashes = seed_hashes(words, n)
+                    at = np.flatnonzero(there[np.mod(hashes.view(np.int64), bits)])
+                    if len(at):
+                        found.append(hashes[at])
+                        held[at] += 1
+                        held[at + n] -= 1
+                if not found:
                     continue
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                own = {words[b:e + seed - 1].tobytes() for b, e in zip(edges[::2], edges[1::2])}  # a repeated run adds nothing
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], np.cumsum(held) > 0]).astype(np.int8)))
+                own = {words[b:e].tobytes() for b, e in zip(edges[::2], edges[1::2])}  # a repeated run adds nothing
                 ids.append(doc_id.as_py())
                 runs.append([np.frombuffer(x, dtype=np.int64).tolist() for x in sorted(own)])
-                seeds.append(np.unique(hashes[hit]).view(np.int64))
+                seeds.append(np.unique(np.concatenate(found)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(runs, pa.list_(pa.list_(pa.int64()))), pa.array(seeds, pa.list_(pa.int64()))], ["doc_id", "runs", "seeds"])
 
@@ -174,7 +188,7 @@ def tiled(pairs: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> Dat
             out: list[list] = [[] for _ in range(5)]
             for doc_id, item_id, words, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 item = np.array(words, dtype=np.int64).view(np.uint64)
-                tiles = tile(item, [np.array(r, dtype=np.int64).view(np.uint64) for r in runs], seed)
+                tiles = tile(item, [np.array(r, dtype=np.int64).view(np.uint64) for r in runs], min(seed, len(item)))
                 covered = sum(n for _, _, n in tiles)
                 if tiles and covered >= coverage * len(item):
                     for column, value in zip(out, (doc_id, item_id, len(item), covered, len(tiles))):
@@ -188,11 +202,12 @@ def tiled(pairs: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> Dat
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
     """One row per document and item whose text is covered: ``doc_id``, ``item_id``, ``item_words``, ``covered_words``, ``tiles``, ``coverage``."""
     items = kept(hashed_items(benchmark, seed))
-    hits = kept(hit_runs(docs, seed_bitmap(items), seed))
-    of_items = items.select("item_id", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
+    lengths = [r.length for r in items.where("length > 0").select("length").distinct().collect()]  # ``seed`` of them at most
+    hits = kept(hit_runs(docs, seed_bitmap(items), sorted(lengths)))
+    of_items = items.select("item_id", "length", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
     of_docs = hits.select("doc_id", F.explode("seeds").alias("seed"))
-    # a tile of n words holds n - seed + 1 seeds, so m shared seeds cover at most seed * m words
-    enough = F.countDistinct("seed") * seed >= F.first("n") * coverage
+    # a tile of n words holds n - length + 1 seeds, so m shared seeds cover at most length * m words
+    enough = F.countDistinct("seed") * F.first("length") >= F.first("n") * coverage
     shared = of_docs.join(of_items, "seed").groupBy("doc_id", "item_id").agg(enough.alias("_enough")).where("_enough").drop("_enough")
     pairs = shared.join(items.select("item_id", "words"), "item_id").join(hits.select("doc_id", "runs"), "doc_id")
     best = tiled(pairs, coverage, seed).groupBy("doc_id", "item_id").agg(

@@ -84,3 +84,15 @@ def test_driver_documents(spark):
         for i in items:
             if i.text in r.text:
                 assert (r.doc_id, i.item_id) in found
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = ["What is it?", "Who?", "今天天气怎么样", "日本の首都はどこですか", "เมืองหลวงของไทย", "!!", "one two three four five six"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = spark.createDataFrame(
+        [(10 + i, f"before, {t} after" if i < 2 else f"前{t}后") for i, t in enumerate(items)]
+        + [(30, "what it is"), (31, "天今气天么怎样"), (32, "is it what"), (33, "one two three four"), (34, "")], "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.covered_words, r.item_words) for r in d.contaminated(docs, bench).collect()}
+    assert {k for k in found} == {(10 + i, i) for i in (0, 1, 2, 3, 4, 6)}
+    assert all(c == n for c, n in found.values())
+    assert found[12, 2] == (7, 7) and found[11, 1] == (1, 1)
