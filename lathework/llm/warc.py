@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.0"
+ANY_VERSION = re.compile(rb"WARC/\d+\.\d+")
 END = "\r\n\r\n"
-BETWEEN = END + VERSION + "\r\n"
+BETWEEN = END + "WARC/"  # of any version
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:lathework:warc-derivatives")
 FETCHED = "2024-01-01T00:00:00Z"
 
@@ -44,7 +45,11 @@ DERIVED = (
 )
 DERIVED_NAMES = [c.split(" ")[0] for c in DERIVED.split(", ")]
 
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
+HEAD = (  # up to its end tag; without one before the body, up to the first tag or text that it cannot hold
+    r"<head\b(?![-:])(?:(?:[^<]++|<(?!/head\s*>|body\b))*+</head\s*>|[^>]*+>?(?:\s++|<!--.*?(?:-->|\Z)"
+    r"|<(script|style|noscript|template|title)\b(?:.*?</\2\s*>|.*?(?=</head\b|<body\b)|.*)"
+    r"|<(?:meta|link|base|basefont|bgsound)\b[^>]*+>?|</(?:meta|link|base|script|style|noscript|template|title)\b[^>]*+>?|<[!?][^>]*+>?)*+(?:</head\s*>)?)")
+HIDDEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|{HEAD}", re.DOTALL | re.IGNORECASE)
 BLOCK_TAG = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*(?:>|\Z)",
     re.IGNORECASE)
@@ -79,7 +84,7 @@ def parse(record: bytes | None) -> tuple[dict[str, str], bytes, str]:
     """Headers, block and the fault of a record, empty if it has none."""
     if not record:
         return {}, b"", "empty record"
-    if not record.startswith(VERSION.encode()):
+    if not ANY_VERSION.match(record):
         return {}, record, "no version line"
     head, there, block = record.partition(END.encode())
     headers = header_lines(head.decode("utf-8", "replace"))
@@ -204,8 +209,8 @@ def response_records(pages: DataFrame, date: str = FETCHED) -> DataFrame:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``record`` of every record in the files below ``path``, without its closing line ends."""
     rows = spark.read.option("lineSep", BETWEEN).text(path)
-    raw = F.regexp_replace("value", "^WARC/1\\.0\\r\\n|(\\r\\n){2}\\z", "")
-    return rows.where("value != ''").select(F.concat(F.lit(VERSION + "\r\n"), raw).cast("binary").alias("record"))
+    raw = F.regexp_replace("value", "^WARC/|(\\r\\n){2}\\z", "")
+    return rows.where("value != ''").select(F.concat(F.lit("WARC/"), raw).cast("binary").alias("record"))
 
 
 def write_warc(records: DataFrame, path: str, compression: str | None = None) -> None:

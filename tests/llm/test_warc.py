@@ -78,3 +78,21 @@ def test_odd_pages(spark):
     assert len(got) == 8 and all(r.problem is None and r.refers_to for r in got)
     assert {len(r.block) for r in got if r.page_id == 1 and r.warc_type == "conversion"} == {59_999}
     assert warc.derivatives(warc.response_records(pages.limit(0))).count() == 0
+
+
+def test_a_head_without_end_tag_ends_where_the_body_begins():
+    body = "<p>First words</p><div>second words</div>"
+    for head in ("<head><meta charset=x><title>T</title><script>a < b</script>", "<HEAD lang=en>\n<title>T</title><!-- <p>no</p> -->", "<head><title>T</title><script>'<body>'</script>"):
+        for start in ("", "<body class=x>", "</head><body>"):
+            assert warc.plain_text(f"<html>{head}{start}{body}</html>") == "T\nFirst words\nsecond words", (head, start)
+    assert warc.plain_text("<head><title>T</title>loose words<p>more") == "T\nloose words\nmore"
+    assert warc.plain_text("<head><title>T</title><script>open</head><body>words") == "T\nwords"
+    assert warc.plain_text("<head><title>T") == "T"
+
+
+def test_files_of_any_version_are_split(spark, tmp_path):
+    record = "WARC/{}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{}>\r\nContent-Length: 5\r\n\r\nwords\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes("".join(record.format(v, i) for i, v in enumerate(["1.1", "1.1", "1.0", "0.18"])).encode())
+    read = [bytes(r.record) for r in warc.read_warc(spark, str(tmp_path)).collect()]
+    assert sorted(read) == sorted(record.format(v, i)[:-4].encode() for i, v in enumerate(["1.1", "1.1", "1.0", "0.18"]))
+    assert all(warc.parse(r)[1:] == (b"words", "") for r in read)
