@@ -5,7 +5,9 @@ each by its kind: a word by the block element around it and whether it is linked
 its name. One linear scan finds the run with the largest sum, and the text blocks in it are
 the main text. Elements that are furniture by their name or class (menus, adverts, notices,
 forms, comments and the like) are one kind of their own, score against the run, and never
-enter the text.
+enter the text. A class counts as a whole, or if all its parts are such words or tell a place
+(``site-nav``, not ``has-sidebar``). The page, its body and its articles are never furniture, nor is
+what holds the body, the main element, the page's only articles, or (forms) most of its words.
 
 Weights are logarithmic odds learnt from labelled pages, those that mark their article
 themselves, over at most ``sample`` pages (smallest hashes of page_id). Kinds that no labelled
@@ -60,6 +62,10 @@ FURNITURE_NAMES = frozenset(
     "related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 #: Words that make a header one of the text.
 TEXT_NAMES = frozenset("article content entry post story".split())
+#: Parts of a class that only tell a place or a shape.
+PLACES = frozenset("area bar bottom box center container global inner left link links list main outer page panel primary right secondary section site sticky top wrap wrapper".split())
+#: Elements that are never furniture.
+NEVER_FURNITURE = frozenset("html body main article".split())
 ENDED_BY_SIBLING = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 
 
@@ -73,18 +79,58 @@ class Token:
     labelled: bool = False
 
 
-def tokens(page: str) -> Iterator[Token]:
+def tokens(page: str) -> list[Token]:
     """Tags and texts in page order, each with its kind."""
+    holders = _Holders()
+    row = list(_tokens(page, frozenset(), holders))
+    spared = holders.spared()
+    return list(_tokens(page, spared, None)) if spared else row
+
+
+@dataclass
+class _Holders:
+    """Furniture, by where it begins, that holds the page itself rather than parts of it."""
+
+    always: set[int] = field(default_factory=set)  # holds the body or the main element
+    articles: set[int] = field(default_factory=set)  # holds an article
+    free_article: bool = False  # an article stands outside all furniture
+    words: int = 0  # outside furniture other than forms
+    by_form: dict[int, int] = field(default_factory=dict)
+
+    def spared(self) -> frozenset[int]:
+        forms = {at for at, n in self.by_form.items() if 2 * n > self.words}
+        return frozenset(self.always | forms | (set() if self.free_article else self.articles))
+
+
+def _tokens(page: str, spared: frozenset[int], holders: _Holders | None) -> Iterator[Token]:
     stack: list[tuple[str, bool]] = []  # block elements that are open, and whether they are furniture
+    places: list[tuple[int, bool, int]] = []  # where the furniture among them begins, whether it is a form, and the holders' words before it
     open_names: Counter = Counter()
-    hidden, linked, article, at = 0, 0, 0, 0
+    hidden, strict, linked, article, at = 0, 0, 0, 0, 0  # strict: open furniture other than forms
     length = len(page)
 
+    def leave(depth: int) -> None:
+        """Ends the furniture from ``depth`` on."""
+        nonlocal strict
+        for where, form, before in places[depth:]:
+            strict -= not form
+            if holders and form:
+                holders.by_form[where] = holders.words - before
+        del places[depth:]
+
+    def note(found: set[int]) -> None:
+        """Enters all open furniture; what lies around a noted one was noted with it."""
+        for where, _, _ in reversed(places):
+            if where in found:
+                break
+            found.add(where)
+
     def close(begin: int) -> tuple[int, int]:
         """Ends the elements from ``begin`` on; how many of them were furniture and articles."""
         gone = stack[begin:]
         del stack[begin:]
         open_names.subtract(n for n, _ in gone)
+        leave(len(places) - sum(f for _, f in gone))
         return sum(f for _, f in gone), sum(n in ("article", "main") for n, _ in gone)
 
     while at < length:
@@ -95,6 +141,8 @@ def tokens(page: str) -> Iterator[Token]:
         if m["text"] is not None:
             words = len(m["text"].split())
             where = stack[-1][0] if stack else "body"
+            if holders and not strict:
+                holders.words += words
             kind = "furniture word" if hidden else f"word in {where}" + " link" * bool(linked)
             yield Token(kind, m["text"], words, furniture=hidden > 0, labelled=article > 0 and not hidden)
             continue
@@ -121,24 +169,40 @@ def tokens(page: str) -> Iterator[Token]:
                     hidden, linked = hidden - close(i)[0], 0
                 elif stack[i][0] not in ENDED_BY_SIBLING:
                     break
-        furniture = name in FURNITURE or (name == "header" and not article) or _furniture_class(m["rest"])
+        named = _furniture_class(m["rest"])
+        furniture = name not in NEVER_FURNITURE and (name in FURNITURE or (name == "header" and not article) or named)
+        own, furniture = furniture, furniture and m.start() not in spared
+        if holders and name in NEVER_FURNITURE:
+            if name == "article" and not named:
+                holders.free_article |= not hidden
+                note(holders.articles)
+            elif name != "article":
+                holders.free_article |= name == "main" and not hidden
+                note(holders.always)
         if name == "a":
             linked = 1
-        if name not in VOID and (name in BLOCKS or furniture):
+        if name not in VOID and (name in BLOCKS or own):
+            if furniture:
+                form = name == "form" and not named
+                places.append((m.start(), form, holders.words if holders else 0))
+                strict += not form
             stack.append((name, furniture))
             open_names[name] += 1
             hidden += furniture
             article += name in ("article", "main")
         yield Token("furniture tag" if hidden else f"tag {name}", breaks=name in BLOCKS, furniture=hidden > 0, labelled=article > 0 and not hidden)
+    leave(0)
 
 
 def _furniture_class(attributes: str) -> bool:
     if "=" not in attributes:
         return False
     for m in CLASS.finditer(attributes):
-        words = set(re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()))
-        if words & FURNITURE_NAMES or ("header" in words and not words & TEXT_NAMES):
-            return True
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = {p for p in re.split(r"[_-]+", name) if p} - PLACES
+            if parts and parts <= FURNITURE_NAMES | {"header"}:
+                if parts != {"header"} or not TEXT_NAMES & set(re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())):
+                    return True
     return False
 
 

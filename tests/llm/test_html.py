@@ -83,3 +83,19 @@ def test_odd_tables(spark):
     assert out.columns == ["page_id", "url", "html", "n_chars", "text"]
     assert sorted(r.text for r in out.collect()) == sorted([TEXT, TEXT, "in words", ""])
     assert h.extracted(pages.limit(0), h.learn(pages.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("begin, end", [
+    ("<body class='has-sidebar'>", "</body>"), ("<body class='no-comments sidebar'>", "</body>"), ("<html class=nav><body>", "</body></html>"),
+    ("<div id='page-with-nav'>", "</div>"), ("<article class='post comment-open'>", "</article>"), ("<main class=search>", "</main>"),
+    ("<form id=page>", "</form>"), ("<form><main>", "</main></form>"), ("<div class=sidebar><article>", "</article></div>"), ("<div class=modal><main>", "</main></div>"),
+])
+def test_furniture_never_takes_the_page(begin, end):
+    page = f"{begin}<nav>Home and away</nav><h1>Title here</h1><p>The text of the page</p><div class='site-nav'>Links</div>{end}"
+    assert h.main_text(page, h.Weights()) == "Title here\nThe text of the page"
+
+
+def test_furniture_that_holds_articles_beside_the_article_stays_furniture():
+    page = "<article><p>The text of the page</p></article><aside><article>Another page and its many words</article></aside><form>Your mail</form>"
+    assert h.main_text(page, h.Weights()) == "The text of the page"
+    assert h.main_text("<p>The text of the page</p><div id=comments><article class=comment>Many words of a reader</article></div>", h.Weights()) == "The text of the page"
