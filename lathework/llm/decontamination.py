@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -121,19 +121,19 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def hashed_items(benchmark: DataFrame, seed: int = SEED) -> DataFrame:
-    """``item_id``, ``words``, the ``length`` of its seeds and its distinct ``seeds`` of every item."""
+    """``item_id``, ``words``, the ``length`` of its seeds, its distinct ``seeds`` and how many ``places`` each has, of every item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             words = [word_hashes(t.as_py(), cache) for t in batch.column(1)]
             lengths = [min(seed, len(w)) for w in words]
-            seeds = [np.unique(seed_hashes(w, n)) if n else w for w, n in zip(words, lengths)]
+            seeds, places = zip(*(np.unique(seed_hashes(w, n) if n else w, return_counts=True) for w, n in zip(words, lengths))) if words else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lengths, pa.int32()), *(pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (words, seeds))],
-                ["item_id", "length", "words", "seeds"])
+                [batch.column(0), pa.array(lengths, pa.int32()), *(pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (words, seeds, places))],
+                ["item_id", "length", "words", "seeds", "places"])
 
     plain = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    return plain.mapInArrow(run, "item_id bigint, length int, words array<bigint>, seeds array<bigint>")
+    return plain.mapInArrow(run, "item_id bigint, length int, words array<bigint>, seeds array<bigint>, places array<bigint>")
 
 
 def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -149,14 +149,14 @@ def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
 
 
 def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED,)) -> DataFrame:
-    """``doc_id``, ``runs`` of word hashes and their distinct ``seeds`` of all ``lengths``, for documents that hit the bitmap."""
+    """``doc_id``, distinct ``runs`` of word hashes, how often each occurs (``copies``) and their distinct ``seeds`` of all ``lengths``, for documents that hit the bitmap."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))  # BITMAP_BITS / 8 bytes
     bits = len(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, there = WordHashes(), np.unpackbits(packed.value).astype(bool)
         for batch in batches:
-            ids, runs, seeds = [], [], []
+            ids, runs, copies, seeds = [], [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 words = word_hashes(text.as_py(), cache)
                 found, held = [], np.zeros(len(words) + 1, dtype=np.int32)  # +1 where a hit begins, -1 behind its end
@@ -170,25 +170,32 @@ def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED
                 if not found:
                     continue
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], np.cumsum(held) > 0]).astype(np.int8)))
-                own = {words[b:e].tobytes() for b, e in zip(edges[::2], edges[1::2])}  # a repeated run adds nothing
+                own = Counter(words[b:e].tobytes() for b, e in zip(edges[::2], edges[1::2]))
                 ids.append(doc_id.as_py())
                 runs.append([np.frombuffer(x, dtype=np.int64).tolist() for x in sorted(own)])
+                copies.append([own[x] for x in sorted(own)])
                 seeds.append(np.unique(np.concatenate(found)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(runs, pa.list_(pa.list_(pa.int64()))), pa.array(seeds, pa.list_(pa.int64()))], ["doc_id", "runs", "seeds"])
+                [pa.array(ids, pa.int64()), pa.array(runs, pa.list_(pa.list_(pa.int64()))), pa.array(copies, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))],
+                ["doc_id", "runs", "copies", "seeds"])
 
     plain = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return plain.mapInArrow(run, f"doc_id bigint, runs {RUNS}, seeds array<bigint>")
+    return plain.mapInArrow(run, f"doc_id bigint, runs {RUNS}, copies array<bigint>, seeds array<bigint>")
 
 
 def tiled(pairs: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
-    """The pairs whose tiles cover enough of the item; reads ``doc_id``, ``item_id``, ``words`` and ``runs``."""
+    """The pairs whose tiles cover enough of the item; reads ``doc_id``, ``item_id``, ``words``, ``runs`` and ``copies``.
+
+    Of equal runs an item needs no more than it can have tiles.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            for doc_id, item_id, words, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for doc_id, item_id, words, runs, copies in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 item = np.array(words, dtype=np.int64).view(np.uint64)
-                tiles = tile(item, [np.array(r, dtype=np.int64).view(np.uint64) for r in runs], min(seed, len(item)))
+                length = min(seed, len(item))
+                whole = [np.array(r, dtype=np.int64).view(np.uint64) for r, n in zip(runs, copies) for _ in range(min(n, len(item) // length))]
+                tiles = tile(item, whole, length)
                 covered = sum(n for _, _, n in tiles)
                 if tiles and covered >= coverage * len(item):
                     for column, value in zip(out, (doc_id, item_id, len(item), covered, len(tiles))):
@@ -196,7 +203,7 @@ def tiled(pairs: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "item_id", "item_words", "covered_words", "tiles"])
 
     schema = "doc_id bigint, item_id bigint, item_words bigint, covered_words bigint, tiles bigint"
-    return pairs.select("doc_id", "item_id", "words", "runs").mapInArrow(run, schema)
+    return pairs.select("doc_id", "item_id", "words", "runs", "copies").mapInArrow(run, schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
@@ -204,12 +211,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     items = kept(hashed_items(benchmark, seed))
     lengths = [r.length for r in items.where("length > 0").select("length").distinct().collect()]  # ``seed`` of them at most
     hits = kept(hit_runs(docs, seed_bitmap(items), sorted(lengths)))
-    of_items = items.select("item_id", "length", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
+    of_items = items.select("item_id", "length", F.size("words").alias("n"), F.explode(F.arrays_zip("seeds", "places")).alias("_seed")).select(
+        "item_id", "length", "n", "_seed.seeds", "_seed.places").withColumnRenamed("seeds", "seed")
     of_docs = hits.select("doc_id", F.explode("seeds").alias("seed"))
-    # a tile of n words holds n - length + 1 seeds, so m shared seeds cover at most length * m words
-    enough = F.countDistinct("seed") * F.first("length") >= F.first("n") * coverage
+    # a tile of n words holds n - length + 1 seeds, so m places of shared seeds cover at most length * m words; repeated rows only let more through
+    enough = F.sum("places") * F.first("length") >= F.first("n") * coverage
     shared = of_docs.join(of_items, "seed").groupBy("doc_id", "item_id").agg(enough.alias("_enough")).where("_enough").drop("_enough")
-    pairs = shared.join(items.select("item_id", "words"), "item_id").join(hits.select("doc_id", "runs"), "doc_id")
+    pairs = shared.join(items.select("item_id", "words"), "item_id").join(hits.select("doc_id", "runs", "copies"), "doc_id")
     best = tiled(pairs, coverage, seed).groupBy("doc_id", "item_id").agg(
         F.max(F.struct("covered_words", "tiles", "item_words")).alias("_best"))
     return best.select("doc_id", "item_id", "_best.item_words", "_best.covered_words", "_best.tiles").withColumn(

@@ -96,3 +96,14 @@ def test_short_items_and_scripts_without_blanks(spark):
     assert {k for k in found} == {(10 + i, i) for i in (0, 1, 2, 3, 4, 6)}
     assert all(c == n for c, n in found.values())
     assert found[12, 2] == (7, 7) and found[11, 1] == (1, 1)
+
+
+def test_repetitive_items_and_repeated_runs(spark):
+    passage = words(0, 12)
+    items = ["ha " * 40, "one two three four five six seven " * 10, f"{passage} x {passage}", words(200, 30)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = spark.createDataFrame([
+        (10, items[0]), (11, "see: " + items[1]), (12, f"first {passage} then {passage} last"), (13, f"only {passage} once"), (13, "ha " * 4),
+        (14, f"{words(200, 10)} z {words(200, 10)} z {words(200, 10)}")], "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.covered_words, r.tiles) for r in d.contaminated(docs, bench, coverage=0.6).collect()}
+    assert found == {(10, 0): (40, 1), (11, 1): (70, 1), (12, 2): (24, 2)}
