@@ -9,8 +9,9 @@ packing         the texts' ids in windows of 2048
 A stage is ``(spark, docs, sf_dir) -> DataFrame``; all but the last return the columns of ``docs``.
 The classifiers learn from what the stage itself is given: the toxicity classifier from
 labelled rows of its documents (and of the ``labels`` table), the span classifier from its
-candidates. Null and empty texts pass every stage (as near-duplicates of nothing). Of repeated
-rows of one doc_id one stays; documents without doc_id stay once per text and are compared with no other.
+candidates. Null and empty texts pass every stage (as near-duplicates of nothing). Near-duplicates and
+decontamination tell rows apart by a 64-bit hash of doc_id and text, so rows that share a doc_id and rows without
+one are treated like all others; of rows equal in both one stays. Of a group the row of the smallest doc_id stays.
 """
 
 from __future__ import annotations
@@ -32,15 +33,27 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.scored(docs, model, mark).where(F.col(mark) < 0.5).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row's doc_id and text, and the key's name, which no column had."""
+    name = "_row_key" + "_" * max(map(len, docs.columns), default=0)
+    parts = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    return docs.withColumn(name, F.xxhash64(*parts)), name
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named, nameless = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
-    groups = near_duplicates.near_duplicates(named.select("doc_id", "text"), size=SHINGLE).where("kept")
-    kept = named.join(groups.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(nameless.dropDuplicates(["text"]))
+    rows, key = keyed(docs)
+    groups = near_duplicates.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), size=SHINGLE)
+    members = groups.select(F.col("doc_id").alias(key), "component_id").distinct().join(rows.select(key, "doc_id").distinct(), key)
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(key).alias("key"))
+    first = members.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias(key))
+    return rows.join(first, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    rows, key = keyed(docs)
+    found = decontamination.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.kept(found.select(F.col("doc_id").alias(key)).distinct())
+    return rows.join(found, key, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,3 +82,16 @@ def test_near_duplicates_are_of_five_words(spark):
     want = {b for b in texts if not any(a < b and 100 * len(texts[a] & texts[b]) >= 80 * len(texts[a] | texts[b]) for a in texts)}
     assert want == set(ids)
     assert {r.doc_id for r in cp.one_of_each_group(spark, docs, FOLDER).collect()} == want
+
+
+def test_rows_that_share_a_doc_id_or_have_none(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("text IS NOT NULL").first().text
+    clean, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, clean), (1, other), (1, clean), (None, clean + " end"), (None, third), (None, third + " end"), (2, item), (2, "a clean text"), (None, item + " end"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id, r.text) for r in cp.one_of_each_group(spark, docs, FOLDER).collect()), key=repr)
+    thirds = [r for r in kept if r[0] is None and r[1] and r[1].startswith("c0 ")]
+    assert len(thirds) == 1 and len(kept) == 6
+    assert {(1, clean), (1, other), (2, item), (2, "a clean text"), (None, None)} < set(kept)
+    left = {tuple(r) for r in cp.decontaminate(spark, docs, FOLDER).collect()}
+    assert left == set(rows) - {(2, item), (None, item + " end")}
