@@ -7,7 +7,8 @@ text's logits are the mean over its windows, weighted by their filled places, so
 counts and nothing is cut off. For prediction neighbouring places share tables of byte pairs.
 
 The fit sees at most ``per_language`` texts of each language (those with the smallest hashes
-of doc_id, in the ``MOST_LANGUAGES`` most frequent languages), one stretch of ``STRETCH`` characters of each.
+of doc_id), one stretch of ``STRETCH`` characters of each. Where the languages are so many that this passes
+``MOST_ROWS`` together, they share these evenly; each keeps one text at least.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every
 text if no language could be learnt; repeated rows are predicted alike; further columns are kept.
@@ -35,7 +36,7 @@ BATCH = 128
 RATE = 0.02
 AT_ONCE = 1024
 HASHES = 1 << 40
-MOST_LANGUAGES = 1_000
+MOST_ROWS = 1_500_000
 UNKNOWN = "und"
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -177,8 +178,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETCH) -> DataFrame:
-    """``text`` and ``lang`` of at most ``per_language`` texts of each language.
+def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETCH, most_rows: int = MOST_ROWS) -> DataFrame:
+    """``text`` and ``lang`` of at most ``per_language`` texts of each language, about ``most_rows`` together.
 
     Languages are counted first; a threshold on the hash, so that about twice as many texts as
     needed pass, keeps the ranking to a bounded number of rows of each language.
@@ -186,12 +187,14 @@ def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch:
     mixed = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
     at = (F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - stretch, F.lit(1))) + 1).cast("int")
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(MOST_LANGUAGES)
-    share = counts.select("lang", F.ceil(F.lit(2.0 * per_language * HASHES) / F.col("_n") + 64).alias("_below"))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    quota = F.least(F.lit(per_language), F.greatest(F.lit(1), F.floor(F.lit(most_rows) / F.col("_languages"))))
+    share = counts.crossJoin(F.broadcast(counts.agg(F.count(F.lit(1)).alias("_languages")))).select(
+        "lang", quota.alias("_quota"), F.ceil((2.0 * quota + 64) * F.lit(float(HASHES)) / F.col("_n")).alias("_below"))
     part = labelled.join(F.broadcast(share), "lang").where(mixed < F.col("_below")).select(
-        "doc_id", "lang", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
+        "doc_id", "lang", "_quota", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_mixed", "doc_id", "text"))
-    return part.withColumn("_rank", rank).where(F.col("_rank") <= per_language).orderBy("lang", "_rank").select("text", "lang")
+    return part.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_quota")).orderBy("lang", "_rank").select("text", "lang")
 
 
 def fit_on(docs: DataFrame) -> Network | None:

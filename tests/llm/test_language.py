@@ -55,3 +55,11 @@ def test_odd_and_empty(odd_documents, no_documents):
     assert lg.predicted(no_documents, net).count() == 0
     assert lg.fit_on(no_documents) is None
     assert {r.lang_pred for r in lg.predicted(odd_documents, None).collect()} == {"und"}
+
+
+def test_no_language_is_dropped_from_the_sample(spark):
+    from lathework.llm import language
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('words of ', id % 1200) AS text", "cast(id % 1200 AS string) AS lang")
+    assert language.labelled_sample(docs).select("lang").distinct().count() == 1200
+    few = language.labelled_sample(docs, most_rows=3000).groupBy("lang").count().collect()
+    assert len(few) == 1200 and {r["count"] for r in few} <= {1, 2} and sum(r["count"] for r in few) <= 3000
