@@ -35,6 +35,7 @@ BLOCK = 4096
 CACHED_WORDS = 1_500_000
 END_ID = 1
 AHEAD = 1024
+END_MARK = "</w>"
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -63,6 +64,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # of each id, whether it ends a word
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith(END_MARK)]] = True
         self.limit = limit
         self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
@@ -71,18 +75,33 @@ class WordIds:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn_stems(self, stems: list[str]) -> None:
-        """Plain letters and digits are encoded many at a time, separated by blanks."""
-        plain, rest = [], []
+        """Latin letters and digits in lower case are encoded many at a time, separated by blanks.
+
+        A stem of letters alone is one word to the tokenizer, and a word's last id stands for a
+        piece with the end mark, so the ids of a row of such stems are cut behind those. Stems with digits are cut by offsets.
+        """
+        alpha, plain, rest, marked = [], [], [], self.last.any()
         for stem in stems:
-            (plain if stem.isalnum() and _latin(stem) and stem.lower() == stem else rest).append(stem)
+            if stem.isalnum() and (stem.isascii() or _latin(stem)) and stem.lower() == stem:
+                (alpha if marked and stem.isalpha() else plain).append(stem)
+            else:
+                rest.append(stem)
         self.stems.update((s, self._encode(s)) for s in rest)
+        for at in range(0, len(alpha), 2000):
+            part = alpha[at:at + 2000]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a word of letters has no end mark of its own")
+            raw = ids.tobytes()
+            self.stems.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
         for at in range(0, len(plain), 2000):
             part = plain[at:at + 2000]
             encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.asarray(encoded.ids, dtype="<u4")
+            raw = np.asarray(encoded.ids, dtype="<u4").tobytes()
             begins = np.cumsum([0, *(len(s) + 1 for s in part)])
-            cuts = np.searchsorted([b for b, _ in encoded.offsets], begins)
-            self.stems.update((s, ids[i:j].tobytes()) for s, i, j in zip(part, cuts, cuts[1:]))
+            cuts = (4 * np.searchsorted([b for b, _ in encoded.offsets], begins)).tolist()
+            self.stems.update(zip(part, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
 
     def _learn(self, unknown: set[str]) -> None:
         if len(self.words) + len(unknown) > self.limit:
