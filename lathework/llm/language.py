@@ -39,7 +39,7 @@ HASHES = 1 << 40
 MOST_ROWS = 1_500_000
 UNKNOWN = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
+WORD = re.compile(r"[^\W\d_]+")  # letters and numbers that are no digits
 
 
 @dataclass
@@ -55,6 +55,11 @@ def to_bytes(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; fractions, superscripts and Roman numerals are not."""
+    return any(any(map(str.isalpha, m.group())) for m in WORD.finditer(text))
+
+
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows in one row of bytes (with AHEAD more at the end), the text of each, its filled places."""
     counts = np.array([-(-len(t) // WINDOW) for t in texts], dtype=np.int64)
@@ -181,18 +186,19 @@ def held_out(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, stretch: int = STRETCH, most_rows: int = MOST_ROWS) -> DataFrame:
     """``text`` and ``lang`` of at most ``per_language`` texts of each language, about ``most_rows`` together.
 
-    Languages are counted first; a threshold on the hash, so that about twice as many texts as
-    needed pass, keeps the ranking to a bounded number of rows of each language.
+    The distinct texts of the languages are counted first; a threshold on the hash of doc_id and text, so that about twice as many texts as
+    needed pass, keeps the ranking to a bounded number of rows of each language. Equal rows pass or
+    fail together, so each language's least hash passes in any case, and only distinct rows are ranked.
     """
-    mixed = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
-    at = (F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - stretch, F.lit(1))) + 1).cast("int")
+    mixed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASHES))
+    at = (F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.length("text") - stretch, F.lit(1))) + 1).cast("int")
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = labelled.groupBy("lang").agg(F.greatest(F.approx_count_distinct(mixed, 0.02), F.lit(1)).alias("_n"), F.min(mixed).alias("_least"))
     quota = F.least(F.lit(per_language), F.greatest(F.lit(1), F.floor(F.lit(most_rows) / F.col("_languages"))))
     share = counts.crossJoin(F.broadcast(counts.agg(F.count(F.lit(1)).alias("_languages")))).select(
-        "lang", quota.alias("_quota"), F.ceil((2.0 * quota + 64) * F.lit(float(HASHES)) / F.col("_n")).alias("_below"))
+        "lang", quota.alias("_quota"), F.greatest(F.ceil((2.0 * quota + 64) * F.lit(float(HASHES)) / F.col("_n")), F.col("_least") + 1).alias("_below"))
     part = labelled.join(F.broadcast(share), "lang").where(mixed < F.col("_below")).select(
-        "doc_id", "lang", "_quota", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text"))
+        "doc_id", "lang", "_quota", mixed.alias("_mixed"), F.substring(F.col("text"), at, F.lit(stretch)).alias("text")).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_mixed", "doc_id", "text"))
     return part.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_quota")).orderBy("lang", "_rank").select("text", "lang")
 
@@ -212,7 +218,7 @@ def predicted(docs: DataFrame, net: Network | None) -> DataFrame:
         reader = Reader(net) if net else None
         for batch in batches:
             texts = batch.column(names.index("text")).to_pylist()
-            ok = [i for i, t in enumerate(texts) if reader and t and LETTER.search(t)]
+            ok = [i for i, t in enumerate(texts) if reader and t and has_letter(t)]
             tongues: list[str] = [UNKNOWN] * len(texts)
             scores = np.zeros(len(texts))
             for group in _groups(ok, texts):

@@ -63,3 +63,20 @@ def test_no_language_is_dropped_from_the_sample(spark):
     assert language.labelled_sample(docs).select("lang").distinct().count() == 1200
     few = language.labelled_sample(docs, most_rows=3000).groupBy("lang").count().collect()
     assert len(few) == 1200 and {r["count"] for r in few} <= {1, 2} and sum(r["count"] for r in few) <= 3000
+
+
+def test_languages_of_one_shared_id_are_learnt(spark):
+    """Eight languages, each with all its rows under one id: none is lost to the threshold of the hash."""
+    docs = spark.range(80_000).selectExpr("id % 8 + 1 AS doc_id", "concat('words of ', id % 5000, ' in ', id % 8) AS text", "concat('l', id % 8) AS lang")
+    docs = docs.where(~lg.held_out(F.col("doc_id")))
+    want = docs.select("lang").distinct().count()
+    counts = {r["lang"]: r["count"] for r in lg.labelled_sample(docs, per_language=20).groupBy("lang").count().collect()}
+    assert len(counts) == want > 4 and set(counts.values()) == {20}
+    one = spark.range(20_000).selectExpr("2L AS doc_id", "'all the same' AS text", "concat('l', id % 3) AS lang")
+    assert [tuple(r) for r in lg.labelled_sample(one).orderBy("lang").collect()] == [("all the same", f"l{i}") for i in range(3)]
+
+
+def test_only_letters_make_a_language(spark):
+    net = lg.fit(["the cat sat on the mat " * 8, "der hund und die katze " * 8], ["en", "de"], batches=5)
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ"), (2, "12 ½a"), (3, "²½"), (4, "ª"), (5, "中")], "doc_id bigint, text string")
+    assert {r.doc_id: r.lang_pred == "und" for r in lg.predicted(docs, net).collect()} == {1: True, 2: False, 3: True, 4: False, 5: False}
