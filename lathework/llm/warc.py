@@ -207,10 +207,15 @@ def response_records(pages: DataFrame, date: str = FETCHED) -> DataFrame:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``record`` of every record in the files below ``path``, without its closing line ends."""
-    rows = spark.read.option("lineSep", BETWEEN).text(path)
-    raw = F.regexp_replace("value", "^WARC/|(\\r\\n){2}\\z", "")
-    return rows.where("value != ''").select(F.concat(F.lit("WARC/"), raw).cast("binary").alias("record"))
+    """``record`` of every record in the files below ``path``, without its closing line ends; bytes of any kind stay as they are."""
+    rows = spark.read.option("lineSep", BETWEEN).text(path).where("value != ''")
+    begun = rows.select(F.when(F.col("value").startswith("WARC/"), F.col("value")).otherwise(F.concat(F.lit("WARC/"), F.col("value"))).alias("value"))
+    head = F.substring_index("value", END, 1)
+    stated = F.octet_length(head) + len(END) + F.regexp_extract(head, "(?im)^content-length:[ \\t]*([0-9]{1,18})[ \\t\\r]*$", 1).try_cast("bigint")
+    raw = F.col("value").cast("binary")
+    # only a file's last record brings its line ends along; a block may end in such bytes itself
+    closed = F.col("value").endswith(END) & ~F.coalesce(F.octet_length("value") == stated, F.lit(False))
+    return begun.select(F.when(closed, F.substring(raw, F.lit(1), F.length(raw) - len(END))).otherwise(raw).alias("record"))
 
 
 def write_warc(records: DataFrame, path: str, compression: str | None = None) -> None:

@@ -96,3 +96,21 @@ def test_files_of_any_version_are_split(spark, tmp_path):
     read = [bytes(r.record) for r in warc.read_warc(spark, str(tmp_path)).collect()]
     assert sorted(read) == sorted(record.format(v, i)[:-4].encode() for i, v in enumerate(["1.1", "1.1", "1.0", "0.18"]))
     assert all(warc.parse(r)[1:] == (b"words", "") for r in read)
+
+
+def test_payloads_of_any_bytes_round_trip(spark):
+    import random
+
+    chance = random.Random(4)
+    blocks = [HTTP + BODY, HTTP.replace(b"text/html", b"image/png") + bytes(range(256)), b"", b"\r\n", b"\xff\xfe\r\n\r\n\xe9"]
+    blocks += [HTTP + bytes(chance.randrange(256) for _ in range(chance.randrange(400))) for _ in range(40)]
+    records = [record(b, WARC_Record_ID=f"<urn:uuid:{i}>") for i, b in enumerate(blocks)]
+    folder = scratch_folder(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder + "/all.warc")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    stream.write(b"".join(r + b"\r\n\r\n" for r in records))
+    stream.close()
+    read = warc.read_warc(spark, folder)
+    assert sorted(bytes(r.record) for r in read.collect()) == sorted(records)
+    made = warc.derivatives(read).where("warc_type = 'metadata'").collect()
+    assert {r.problem for r in made} == {None} and {r.source_block_digest for r in made} == {sha(b) for b in blocks}
