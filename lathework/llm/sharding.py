@@ -73,7 +73,7 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
 
 def hashed_cell(value: Column, bits: int = BITS) -> Column:
     """Cell of a value without an order of its own."""
-    return F.coalesce(F.pmod(F.xxhash64(value.cast("string")), F.lit(1 << bits)).cast("int"), F.lit(0))
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(value.cast("string")), F.lit(1 << bits)).cast("int"))
 
 
 def log_cell(value: Column, bits: int = BITS) -> Column:
@@ -116,14 +116,16 @@ def sharded(rows: DataFrame, curve: str, key: list[str], shards: int = SHARDS, r
 def document_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Curve over language, source and size; within a cell of the curve a hash decides.
 
-    The narrow rows are written once below the shared folder, so texts are read once.
+    The narrow rows are written once below the shared folder, so texts are read once; their places there deal equal rows
+    over all slices of a cell.
     """
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
         "doc_id", (F.length(raw).cast("bigint") + 1).alias("size"), F.crc32(raw).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("_place"),  # written once, so it stays
         hilbert_index([hashed_cell(F.col("lang"), bits), hashed_cell(F.col("source"), bits), log_cell(F.length(raw), bits)], bits).alias("_curve"),
     )
     spark = docs.sparkSession
     folder = scratch_folder(spark)
     rows.write.parquet(folder)
-    return sharded(spark.read.schema(rows.schema).parquet(folder), "_curve", ["text_crc32", "doc_id"], shards, rows_per_slice).drop("_curve")
+    return sharded(spark.read.schema(rows.schema).parquet(folder), "_curve", ["_place"], shards, rows_per_slice).drop("_curve", "_place")

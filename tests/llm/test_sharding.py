@@ -57,3 +57,16 @@ def test_files_can_be_pruned(spark):
     spread = s.document_shards(docs).join(docs, "doc_id").groupBy("shard").agg(F.countDistinct("source").alias("n")).collect()
     every = docs.select("source").distinct().count()
     assert sum(r.n for r in spread) / len(spread) < 0.75 * every
+
+
+def test_null_dimensions_take_cell_0(spark):
+    assert spark.range(1).select(s.hashed_cell(F.lit(None).cast("string"))).first()[0] == 0
+
+
+def test_equal_rows_are_dealt_over_slices(spark):
+    """20,000 equal rows of one id: no slice holds many more than it should, and the law holds."""
+    docs = spark.range(20_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("the same").alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_place"), F.lit(1).alias("c"))
+    dealt = rows.groupBy(F.pmod(F.xxhash64("_place"), F.lit(4))).count().collect()
+    assert max(r["count"] for r in dealt) < 5_500
+    even(s.document_shards(docs).collect(), 8)
