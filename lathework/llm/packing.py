@@ -1,6 +1,6 @@
 """Packing of token sequences into windows by Karmarkar-Karp multiway differencing.
 
-A document's ids are cut into pieces of at most ``cut`` ids. Pieces are dealt by hash into
+A document's ids are cut into pieces of at most ``cut`` ids. Pieces are dealt by a hash of their place, so that equal ones part, into
 blocks of about ``BLOCK`` pieces, so that a block is one bounded group however large the corpus
 is. Within a block, differencing splits the pieces into windows of nearly equal sums: every
 piece begins as a partition with one filled window; the two partitions with the largest
@@ -264,7 +264,7 @@ def pack_block(block: pd.DataFrame, capacity: int = CAPACITY) -> pd.DataFrame:
 def pack(pieces: DataFrame, count: int, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; ``count`` is their number."""
     blocks = max(1, -(-count // block))
-    dealt = pieces.withColumn("_block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.spark_partition_id()), F.lit(blocks)))
+    dealt = pieces.withColumn("_block", F.pmod(F.xxhash64(F.monotonically_increasing_id(), "doc_id", "start"), F.lit(blocks)))
     return dealt.groupBy("_block").applyInPandas(lambda rows: pack_block(rows, capacity), PACKED)
 
 

@@ -95,3 +95,10 @@ def test_little_padding(spark, block):
     filled = sum(r.length for r in rows)
     windows = len({r.sequence_id for r in rows})
     assert filled / (2048 * windows) > (0.97 if block == 4096 else 0.85)
+
+
+def test_equal_rows_are_dealt_over_blocks(spark):
+    pieces = spark.range(20_000).selectExpr("1L AS doc_id", "0L AS start", "300L AS length", "5L AS ids_crc32", "300L AS doc_tokens")
+    out = packing.pack(pieces, 20_000)
+    blocks = out.groupBy((out["sequence_id"] / 2**32).cast("int")).count().collect()
+    assert len(blocks) == 5 and max(r["count"] for r in blocks) < 4_500
