@@ -3,18 +3,16 @@
 Texts are compared as lower-cased words; in scripts written without blanks every character is a
 word. A seed is ``SEED`` words in a row, or the whole of a shorter item; its running
 Karp-Rabin hash is a polynomial in the words' hashes. Seeds of the benchmark set bits in a
-bitmap of fixed size. One pass over the documents keeps the runs of words whose seeds hit the
-bitmap: every tile lies in such a run, so nothing else of a document travels. A seed join gives
+bitmap that grows with their number. One pass over the documents keeps the runs of words whose seeds hit the
+bitmap: every tile lies in such a run, so nothing else of a document travels. A join on each item's rarest seeds gives
 the pairs of document and item that may reach the threshold, and tiling settles them: the longest
 unmarked match is marked on both sides, time and again, until none of ``SEED`` words is left.
 The covered share of the item decides, so passages in another order are found as well.
 
-A larger benchmark fills the bitmap and lets more words through, but never loses any.
-
 Defined cases: null and empty texts match nothing; an item of fewer than ``SEED`` words is found
 where all its words stand in a row; repeated documents are found as often as they occur (once per
-doc_id and item, with the larger coverage, if they share an id); a document without an id is
-not reported and not dropped; empty tables give no rows; further columns are kept by
+doc_id and item, with the larger coverage, if they share an id); a document without an id
+cannot be named by ``contaminated``, but ``clean_documents`` drops it like any other; empty tables give no rows; further columns are kept by
 ``clean_documents`` and not read by ``contaminated``.
 """
 
@@ -35,7 +33,8 @@ from lathework.session import scratch_folder
 
 SEED = 5
 COVERAGE = 0.5
-BITMAP_BITS = 1 << 23
+BITS_PER_SEED = 64
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of the bitmap: 128 KB to 32 MB
 MOST_CACHED = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,8 +135,13 @@ def hashed_items(benchmark: DataFrame, seed: int = SEED) -> DataFrame:
     return plain.mapInArrow(run, "item_id bigint, length int, words array<bigint>, seeds array<bigint>, places array<bigint>")
 
 
-def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Bits of all seeds, gathered as 64-bit words: ``bits`` / 64 rows at most reach the driver."""
+def seed_bitmap(items: DataFrame, least: int = LEAST_BITS, most: int = MOST_BITS) -> np.ndarray:
+    """Bits of all seeds, eight a byte, gathered as 64-bit words: one row a word at most reaches the driver.
+
+    There are ``BITS_PER_SEED`` times as many bits as seeds, as far as ``most`` allows, so about one other word in so many passes.
+    """
+    seeds = items.agg(F.sum(F.size("seeds"))).first()[0] or 0
+    bits = min(max(1 << (BITS_PER_SEED * seeds).bit_length(), least), most)
     words = (
         items.select(F.explode("seeds").alias("seed")).select(F.pmod("seed", F.lit(bits)).alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
@@ -145,16 +149,16 @@ def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     out = np.zeros(bits // 64, dtype=np.int64)
     for word, mask in words.collect():
         out[word] = mask
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
+    return out.view(np.uint8)
 
 
 def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED,)) -> DataFrame:
     """``doc_id``, distinct ``runs`` of word hashes, how often each occurs (``copies``) and their distinct ``seeds`` of all ``lengths``, for documents that hit the bitmap."""
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))  # BITMAP_BITS / 8 bytes
-    bits = len(bitmap)
+    packed = docs.sparkSession.sparkContext.broadcast(bitmap)  # MOST_BITS / 8 bytes at most
+    bits = 8 * len(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, there = WordHashes(), np.unpackbits(packed.value).astype(bool)
+        cache, there = WordHashes(), packed.value
         for batch in batches:
             ids, runs, copies, seeds = [], [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -162,7 +166,8 @@ def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED
                 found, held = [], np.zeros(len(words) + 1, dtype=np.int32)  # +1 where a hit begins, -1 behind its end
                 for n in lengths:
                     hashes = seed_hashes(words, n)
-                    at = np.flatnonzero(there[np.mod(hashes.view(np.int64), bits)])
+                    bit = np.mod(hashes.view(np.int64), bits)
+                    at = np.flatnonzero(there[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
                     if len(at):
                         found.append(hashes[at])
                         held[at] += 1
@@ -183,6 +188,43 @@ def hit_runs(docs: DataFrame, bitmap: np.ndarray, lengths: Sequence[int] = (SEED
     return plain.mapInArrow(run, f"doc_id bigint, runs {RUNS}, copies array<bigint>, seeds array<bigint>")
 
 
+def rarest_seeds(items: DataFrame, of_docs: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """``item_id`` and ``seed``: the seeds of which any document that covers an item must hold one.
+
+    A tile lies where the document holds every seed. The most frequent seeds are left out as long as the words of the item
+    under all of them together are too few to reach the coverage: a document that holds no other seed can't reach it either. So
+    phrases that many items and documents share bring no pairs unless they make up that share of the item.
+    """
+    known = of_docs.groupBy("seed").agg(F.count(F.lit(1)).alias("documents"))
+    named = kept(items.withColumn("item", F.monotonically_increasing_id()))
+    counted = named.select("item", F.explode("seeds").alias("seed")).join(known, "seed")
+    lists = counted.groupBy("item").agg(F.collect_list("seed").alias("held"), F.collect_list("documents").alias("documents"))  # an item's own seeds
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, seeds = [], []
+            for item_id, length, words, held, documents in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *batch.columns[2:]):
+                words = words.values.to_numpy().view(np.uint64)
+                at = defaultdict(list)
+                for i, h in enumerate(seed_hashes(words, length).view(np.int64).tolist()):
+                    at[h].append(i)
+                covered, left_out = np.zeros(len(words), dtype=bool), 0
+                order = sorted(zip(documents.as_py(), held.as_py()), reverse=True)
+                for _, seed in order:
+                    more = covered.copy()
+                    for i in at[seed]:
+                        more[i:i + length] = True
+                    if more.sum() >= coverage * len(words):
+                        break
+                    covered, left_out = more, left_out + 1
+                ids += [item_id] * (len(order) - left_out)
+                seeds += [seed for _, seed in order[left_out:]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seeds, pa.int64())], ["item_id", "seed"])
+
+    return named.select("item", "item_id", "length", "words").join(lists, "item").select("item_id", "length", "words", "held", "documents").mapInArrow(
+        run, "item_id bigint, seed bigint")
+
+
 def tiled(pairs: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
     """The pairs whose tiles cover enough of the item; reads ``doc_id``, ``item_id``, ``words``, ``runs`` and ``copies``.
 
@@ -211,13 +253,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     items = kept(hashed_items(benchmark, seed))
     lengths = [r.length for r in items.where("length > 0").select("length").distinct().collect()]  # ``seed`` of them at most
     hits = kept(hit_runs(docs, seed_bitmap(items), sorted(lengths)))
-    of_items = items.select("item_id", "length", F.size("words").alias("n"), F.explode(F.arrays_zip("seeds", "places")).alias("_seed")).select(
-        "item_id", "length", "n", "_seed.seeds", "_seed.places").withColumnRenamed("seeds", "seed")
     of_docs = hits.select("doc_id", F.explode("seeds").alias("seed"))
-    # a tile of n words holds n - length + 1 seeds, so m places of shared seeds cover at most length * m words; repeated rows only let more through
-    enough = F.sum("places") * F.first("length") >= F.first("n") * coverage
-    shared = of_docs.join(of_items, "seed").groupBy("doc_id", "item_id").agg(enough.alias("_enough")).where("_enough").drop("_enough")
-    pairs = shared.join(items.select("item_id", "words"), "item_id").join(hits.select("doc_id", "runs", "copies"), "doc_id")
+    met = of_docs.join(rarest_seeds(items, of_docs, coverage), "seed").select("doc_id", "item_id").distinct()
+    # m places of shared seeds cover at most length * m words
+    shared = F.aggregate(F.arrays_zip("seeds", "places"), F.lit(0).cast("bigint"), lambda m, s: m + F.when(F.array_contains("_held", s["seeds"]), s["places"]).otherwise(0))
+    pairs = met.join(items, "item_id").join(hits.select("doc_id", "runs", "copies", F.col("seeds").alias("_held")), "doc_id").where(
+        shared * F.col("length") >= F.size("words") * coverage)
     best = tiled(pairs, coverage, seed).groupBy("doc_id", "item_id").agg(
         F.max(F.struct("covered_words", "tiles", "item_words")).alias("_best"))
     return best.select("doc_id", "item_id", "_best.item_words", "_best.covered_words", "_best.tiles").withColumn(
@@ -225,6 +266,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
-    """``docs`` without the documents that cover an item."""
-    found = kept(contaminated(docs, benchmark, coverage, seed).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that cover an item.
+
+    Rows are told apart by a hash of doc_id and text, so those without an id and those that share one are judged each by its own text.
+    """
+    name = "_row_key" + "_" * max(map(len, docs.columns), default=0)  # a name no column has
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text"))
+    rows = docs.withColumn(name, key)
+    found = contaminated(rows.select(F.col(name).alias("doc_id"), "text"), benchmark, coverage, seed)
+    found = kept(found.select(F.col("doc_id").alias(name)).distinct())
+    return rows.join(found, name, "left_anti").select(*docs.columns)

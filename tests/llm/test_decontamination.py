@@ -57,13 +57,13 @@ def test_reordered_partial_and_clean(spark):
     assert found == {(10, 1): (40, 2), (12, 2): (40, 1)}
     clean = d.clean_documents(docs, bench)
     assert clean.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in clean.collect()) == [0, 11, 13, 14, 15]
+    assert sorted((r.doc_id or 0) for r in clean.collect()) == [11, 13, 14, 15]  # the row without an id holds an item
 
 
 def test_a_full_bitmap_loses_nothing(spark, monkeypatch):
     bench = spark.createDataFrame([(1, words(0, 40))], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, words(0, 40)), (2, words(50, 40))], "doc_id bigint, text string")
-    monkeypatch.setattr(d, "seed_bitmap", lambda items: np.ones(64, dtype=np.uint8))
+    monkeypatch.setattr(d, "seed_bitmap", lambda items: np.full(8, 255, dtype=np.uint8))
     assert [(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()] == [(1, 1)]
 
 
@@ -107,3 +107,25 @@ def test_repetitive_items_and_repeated_runs(spark):
         (14, f"{words(200, 10)} z {words(200, 10)} z {words(200, 10)}")], "doc_id bigint, text string")
     found = {(r.doc_id, r.item_id): (r.covered_words, r.tiles) for r in d.contaminated(docs, bench, coverage=0.6).collect()}
     assert found == {(10, 0): (40, 1), (11, 1): (70, 1), (12, 2): (24, 2)}
+
+
+def test_rows_without_or_with_a_shared_id_are_cleaned_by_their_text(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, "before " + item), (None, "clean text of no item"), (1, item + " after"), (1, "another clean text"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert {tuple(r) for r in d.clean_documents(docs, items).collect()} == {rows[1], rows[3], rows[4]}
+
+
+def test_a_phrase_of_all_items_brings_no_pairs(spark):
+    """Documents that share only what every item holds meet no item; copies are found all the same."""
+    phrase = " ".join(f"common{i}" for i in range(12))
+    texts = [phrase + " " + " ".join(f"i{k}w{j}" for j in range(20)) for k in range(30)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"doc {i} says {phrase} and more {i}") for i in range(200)] + [(1000 + k, f"x {t} y") for k, t in enumerate(texts)], "doc_id bigint, text string")
+    hashed = d.kept(d.hashed_items(items))
+    hits = d.kept(d.hit_runs(docs, d.seed_bitmap(hashed)))
+    of_docs = hits.selectExpr("doc_id", "explode(seeds) AS seed")
+    met = of_docs.join(d.rarest_seeds(hashed, of_docs), "seed").select("doc_id", "item_id").distinct()
+    assert met.count() == 30
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()} == {(1000 + k, k) for k in range(30)}
