@@ -33,6 +33,7 @@ from lathework.session import scratch_folder
 KINDS = ["email", "ip", "card", "phone", "id", "person"]
 BASE_KINDS = KINDS[:4]
 SAMPLE = 20_000
+HASHES = 1 << 40
 EM_ROUNDS = 60
 AROUND = 40
 KEEP_AT = 0.5
@@ -57,17 +58,18 @@ GIVEN_NAMES = frozenset([
     "Thomas", "Sarah", "Peter", "Anna", "Hans", "Ursula", "Klaus", "Monika", "Pierre", "Marie", "Jean", "Sophie", "Carlos",
     "Carmen", "José", "Lucía", "Juan", "Laura", "Paul", "Julia", "Martin", "Claire", "Antonio", "Elena",
 ])
-#: Words near personal data of a kind.
+#: Whole words near personal data of a kind.
 CUES = {
-    "email": ["mail", "contact", "correo", "write", "reach"],
-    "ip": ["ip", "host", "server", "address", "client", "login"],
-    "card": ["card", "visa", "credit", "karte", "carte", "tarjeta", "payment"],
-    "phone": ["phone", "call", "tel", "mobile", "fax", "telefon", "teléfono", "téléphone", "handy"],
-    "id": ["ssn", "social", "security", "passport", "id"],
-    "person": ["name", "called", "signed", "dear", "regards", "author"],
+    "email": frozenset(["mail", "email", "contact", "correo", "write", "reach"]),
+    "ip": frozenset(["ip", "ipv4", "ipv6", "host", "server", "address", "client", "login"]),
+    "card": frozenset(["card", "visa", "credit", "karte", "carte", "tarjeta", "payment"]),
+    "phone": frozenset(["phone", "telephone", "cell", "call", "tel", "mobile", "fax", "telefon", "teléfono", "téléphone", "handy"]),
+    "id": frozenset(["ssn", "social", "security", "passport", "id", "identity"]),
+    "person": frozenset(["name", "called", "signed", "dear", "regards", "author"]),
 }
-#: Ends of host names in wide use.
-DOMAIN_ENDS = frozenset("com org net edu gov io de fr es uk info eu".split())
+#: Ends of host names in wide use that are longer than a country's two letters.
+DOMAIN_ENDS = frozenset("com org net edu gov mil int info biz name pro museum aero coop jobs mobi travel arpa app dev cloud online site shop blog xyz".split())
+WORDS = re.compile(r"[^\W_]+")
 CODE = re.compile(r"[=\"'<>{}\[\]/\\#_]|version|isbn|order|token|hash|uuid", re.IGNORECASE)
 
 
@@ -140,11 +142,21 @@ def further_candidates(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _whole(text: str, begin: int, end: int) -> str:
+    """The lower-cased words that lie whole between the places."""
+    end = min(end, len(text))
+    while 0 < begin < end and text[begin].isalnum() and text[begin - 1].isalnum():
+        begin += 1
+    while begin < end < len(text) and text[end].isalnum() and text[end - 1].isalnum():
+        end -= 1
+    return text[begin:end].lower()
+
+
 def votes(kind: str, text: str, start: int, end: int, base: bool) -> str:
     """One letter per labeler: y, n or - for none."""
     span = text[start:end]
     before, after = text[max(0, start - AROUND):start], text[end:end + AROUND]
-    near = (before + " " + after).lower()
+    near = _whole(text, max(0, start - AROUND), start) + " " + _whole(text, end, end + AROUND)
     digits = "".join(c for c in span if c in "0123456789")
     if kind == "card":
         check = "y" if luhn(digits) else "n"
@@ -157,12 +169,13 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> str:
     else:
         check = "-"
     if kind == "email":
-        gazetteer = "y" if re.split(r"[.\x20)\]]", span)[-1].lower() in DOMAIN_ENDS else "n"
+        end = re.split(r"[.\x20)\]]", span)[-1].lower()
+        gazetteer = "y" if end in DOMAIN_ENDS or (len(end) == 2 and end.isalpha()) else "n" if end.isdigit() else "-"
     elif kind == "person":
         gazetteer = "y" if span.split(" ")[0] in GIVEN_NAMES else "-"
     else:
         gazetteer = "-"
-    context = "y" if any(c in near for c in CUES[kind]) else "-"
+    context = "y" if CUES[kind].intersection(WORDS.findall(near)) else "-"
     code = "n" if CODE.search(before[-8:] + " " + after[:3]) else "-"
     return ("y" if base else "n" if kind == "card" else "-") + check + gazetteer + context + code
 
@@ -275,15 +288,22 @@ def fit_classifier(rows: list[list[str]], targets: list[float], times: list[int]
     return Classifier({f: float(w[i]) for f, i in index.items()}, float(w[-1]))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def learn(candidates: DataFrame, column: str = "candidates", sample: int = SAMPLE) -> Classifier:
     """Vote patterns are counted over all documents; their number is bounded by kinds and labelers."""
     spans = candidates.select(F.explode(column).alias("c"))
     counted = spans.groupBy("c.kind", "c.votes").count().collect()
     chance = reliabilities({(r["kind"], r["votes"]): r["count"] for r in counted})
-    rows = (
-        spans.groupBy("c.kind", "c.votes", "c.features").count()
-        .orderBy(F.xxhash64("kind", "votes", "features"), "kind", "votes", "features").limit(sample).collect()
-    )
+    distinct = _written(spans.groupBy("c.kind", "c.votes", "c.features").count())
+    mixed = F.pmod(F.xxhash64("kind", "votes", "features"), F.lit(HASHES))
+    # about twice the sample passes, so that no more than that is sorted and sent
+    few = distinct.where(mixed <= F.lit(min(HASHES, (2 * sample + 1000) * HASHES // max(distinct.count(), 1))))
+    rows = few.orderBy(mixed, "kind", "votes", "features").limit(sample).collect()
     return fit_classifier([r["features"] for r in rows], [chance[r["kind"], r["votes"]] for r in rows], [r["count"] for r in rows])
 
 
@@ -295,11 +315,7 @@ def settled(candidates: list[dict], classifier: Classifier, at: float = KEEP_AT)
 
 def found(docs: DataFrame) -> tuple[DataFrame, Classifier]:
     """``doc_id`` and ``candidates`` of all rows, in a table below the shared folder, and the classifier they teach."""
-    spark = docs.sparkSession
-    folder = scratch_folder(spark)
-    looked = with_candidates(docs, ["doc_id"])
-    looked.write.parquet(folder)
-    table = spark.read.schema(looked.schema).parquet(folder)
+    table = _written(with_candidates(docs, ["doc_id"]))
     return table, learn(table)
 
 
