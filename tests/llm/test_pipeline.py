@@ -29,7 +29,7 @@ def test_columns_and_order(stages):
 
 def test_one_of_each_group_stays(stages):
     docs, result = stages[1]
-    want = {r.doc_id for r in near_duplicates.near_duplicates(docs).where("kept").collect()}
+    want = {r.doc_id for r in near_duplicates.near_duplicates(docs, size=cp.SHINGLE).where("kept").collect()}
     assert {r.doc_id for r in result.collect()} == want and result.count() == len(want)
 
 
