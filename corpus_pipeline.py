@@ -24,10 +24,20 @@ from lathework.registry.tables import table
 from lathework.session import scratch_folder
 
 SHINGLE = 5  # words; the two words of op10's query are its own contract
+BATCH_BYTES = 4 << 20
 CACHED_WORDS = 150_000  # the table outlives its stage in Python workers that the other stages use too
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of a few MB: with the default of 10,000 rows a task holds several copies of tens of MB.
+
+    The setting is read when a stage's result is written, so it stays set.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
     mark = "_toxic_score" + "_" * max(map(len, docs.columns), default=0)  # a name no column has
     return toxicity.scored(docs, model, mark).where(F.col(mark) < 0.5).select(*docs.columns)
@@ -41,6 +51,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows, key = keyed(docs)
     groups = near_duplicates.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), size=SHINGLE)
     members = groups.select(F.col("doc_id").alias(key), "component_id").distinct().join(rows.select(key, "doc_id").distinct(), key)
@@ -50,6 +61,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows, key = keyed(docs)
     found = decontamination.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     found = decontamination.kept(found.select(F.col("doc_id").alias(key)).distinct())
@@ -57,12 +69,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     _, classifier = pii.found(docs.select("doc_id", "text"))
     clean = pii.redacted(docs, classifier)
     return clean.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.packed_documents(docs.select("doc_id", "text"), cached_words=CACHED_WORDS)
 
 
