@@ -1,0 +1,162 @@
+"""Streams that end with a mark: chained operators, two sources, restated alerts; each against its batch form."""
+
+from __future__ import annotations
+
+import os
+import time
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from lathework import sinks
+from lathework.operators import presence
+from lathework.registry import streams
+from lathework.streaming import counts, marks, registered, restated
+from lathework.streaming import presence as sp
+from test_presence import ORIGIN, at, frames, random_events
+from test_streams import ORIGIN_US, event_stream  # noqa: F401
+
+
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+ROOMS = ["0", "1", "2", "26", "27"]
+
+
+def us(moment):
+    return int(round(moment.timestamp() * 1_000_000))
+
+
+def to_its_end(spark, tmp_path, make, until_us, delay="1 second", opens_us=None):
+    """The rows of ``make(folder of marks)`` and the progress of its last batch, mark by mark."""
+    folder = str(tmp_path / "marks")
+    marks.put_marks(spark, folder, [] if opens_us is None else [opens_us])
+    stream = make(folder)
+    for last in (False, True):
+        if last:
+            marks.put_marks(spark, folder, [until_us + 1_000 + sp.micros(delay)])
+        query = sinks.stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+        query.awaitTermination(300)
+    return spark.read.schema(stream.schema).parquet(str(tmp_path / "out")), query
+
+
+def last_bucket(events, width):
+    return ORIGIN_US + (max(us(events[-1][1]) - ORIGIN_US, 0) // sp.micros(width) + 1) * sp.micros(width)
+
+
+def test_rooms_are_counted_in_the_stream(spark, rows, tmp_path, event_stream):  # noqa: F811
+    events = random_events(13)
+    _, stay, last = frames(spark, events)
+    got, _ = to_its_end(spark, tmp_path, lambda m: counts.children_per_room(event_stream(events), m, ROOMS, ORIGIN_US, "1 hour"), last_bucket(events, "1 hour"), opens_us=ORIGIN_US)
+    assert rows(got) == rows(presence.room_stats(stay, last, ROOMS, ORIGIN, "1 hour")) != []
+
+
+def test_empty_buckets_are_told_as_zeros(spark, rows, tmp_path, event_stream):  # noqa: F811
+    """All children leave, hours pass without any event, one comes back; a stay that ends at a bucket's opening does not touch it."""
+    events = [(1, at(9, 10), "a", "0"), (2, at(10), "a", "1"), (3, at(10, 20), "a", "E"), (4, at(15), "b", "2"), (5, at(16), "b", "E"), (6, at(17, 1), "b", "0")]
+    _, stay, last = frames(spark, events)
+    got, _ = to_its_end(spark, tmp_path, lambda m: counts.children_per_room(event_stream(events, 3), m, ROOMS, ORIGIN_US, "1 hour"), last_bucket(events, "1 hour"), opens_us=ORIGIN_US)
+    want = rows(presence.room_stats(stay, last, ROOMS, ORIGIN, "1 hour"))
+    assert rows(got) == want and len(want) == 9 * len(ROOMS) and sum(r[2] for r in want) == 4
+
+
+def test_children_are_counted_in_the_stream(spark, rows, tmp_path, event_stream):  # noqa: F811
+    """Late rows within the delay, a child with very many buckets of one stay."""
+    events = random_events(21)
+    mixed = sorted(events, key=lambda e: (e[1].timestamp() // 1800, e[0] * 7919 % 101))
+    _, stay, last = frames(spark, events)
+    got, query = to_its_end(spark, tmp_path, lambda m: counts.rooms_per_child(event_stream(mixed, 6), m, ORIGIN_US, "10 minutes", delay="1 hour"), last_bucket(events, "10 minutes"), "1 hour")
+    assert rows(got) == rows(presence.child_stats(stay, last, ORIGIN, "10 minutes")) != []
+
+
+@pytest.mark.parametrize("room,shares", [(None, 1), ("26", 3)])
+def test_restated_alerts_equal_the_batch_and_leave_no_state(spark, rows, tmp_path, event_stream, room, shares):  # noqa: F811
+    events = random_events(23)
+    table, stay, last = frames(spark, events)
+    width = "30 minutes"
+    until = us(events[-1][1]) // sp.micros(width) * sp.micros(width) + sp.micros(width)
+    got, query = to_its_end(spark, tmp_path, lambda m: restated.repeated_alerts(event_stream(events), m, "15 minutes", width, room, shares=shares), until)
+    want = presence.repeated_alerts(table, stay, last, "15 minutes", sp.micros(width), room)
+    assert rows(got.select(*want.columns)) == rows(want) and want.count() > 50
+    joined = [s for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"] == "symmetricHashJoin"]
+    assert joined and joined[-1]["numRowsTotal"] == 0  # the watermark has passed all buckets
+
+
+def written_stream(spark, folder, rows_, schema, files):
+    folder.mkdir()
+    size = max(-(-len(rows_) // files), 1)
+    for i in range(0, len(rows_), size):
+        spark.createDataFrame(rows_[i:i + size], schema).coalesce(1).write.parquet(str(folder.parent / f"{folder.name}{i}"))
+        (part,) = (folder.parent / f"{folder.name}{i}").glob("part-*.parquet")
+        target = folder / f"{i:05d}.parquet"
+        target.write_bytes(part.read_bytes())
+        os.utime(target, (time.time() - 1000 + i, time.time() - 1000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+@pytest.mark.parametrize("reg_files,move_files", [(1, 5), (6, 1), (2, 2)])
+def test_two_sources_of_which_one_lags(spark, rows, tmp_path, reg_files, move_files):
+    """Whichever source comes in more batches, both are applied in (time, seq) order; a later registration changes later alerts only."""
+    events = random_events(29)
+    phones = [(at(8, 40) + timedelta(minutes=25 * i), f"c{i % 4}", 10_000 + i, f"239-{i:03d}-0000" if i % 3 else "none") for i in range(11)]
+    reg_schema, move_schema = "ts timestamp, child string, seq bigint, phone string", "seq bigint, ts timestamp, child string, room string"
+    regs = written_stream(spark, tmp_path / "reg", phones, reg_schema, reg_files)
+    moves = written_stream(spark, tmp_path / "moves", events, move_schema, move_files)
+    until = max(us(events[-1][1]), us(phones[-1][0]))
+    got, _ = to_its_end(spark, tmp_path, lambda m: registered.registered_alerts(registered.merged_streams(regs, moves, m, "1 second", "1 second"), "15 minutes"), until)
+
+    want, state = [], {}
+    every = sorted([(t, seq, c, "1000", p) for t, c, seq, p in phones] + [(t, seq, c, room, None) for seq, t, c, room in events])
+    end = max(e[0] for e in every)
+    for i, (t, _, child, room, phone) in enumerate(every):
+        if phone and phone != "none":
+            state[child] = phone
+        after = next((e[0] for e in every[i + 1:] if e[2] == child), None)
+        due = t + timedelta(minutes=15)
+        if room != "E" and (due < after if after else due <= end):
+            want.append((due, child, room, t, state.get(child)))
+    assert rows(got.where(F.unix_micros("due_ts") <= until)) == sorted(want, key=repr)
+    assert len({(w[1], w[4]) for w in want if w[4]}) > 4
+
+
+def test_phones_known_before_the_stream(spark, rows, tmp_path, event_stream):  # noqa: F811
+    events = [(1, at(9), "k", "1"), (2, at(9), "m", "2"), (3, at(12), "k", "E"), (4, at(12), "m", "E")]
+    known = spark.createDataFrame([("k", "239-663-0109")], "child string, phone string")
+    no_regs = written_stream(spark, tmp_path / "reg", [], "ts timestamp, child string, seq bigint, phone string", 1)
+    got, _ = to_its_end(spark, tmp_path, lambda m: registered.registered_alerts(
+        registered.merged_streams(no_regs, event_stream(events, 2), m, "1 second", "1 second"), "15 minutes", known=known), us(at(12)))
+    assert rows(got.select("child", "phone")) == [("k", "239-663-0109"), ("m", None)]
+
+
+@pytest.mark.parametrize("parts,late", [
+    ([[0, 5], [6, 9]], 0), ([[6, 9], [0, 5]], 9), ([[0, 5], [3, 9], [4, 4]], 5), ([[0, 100]], 0), ([], 0),
+])
+def test_disorder_between_files(spark, tmp_path, parts, late):
+    (tmp_path / "t").mkdir()
+    schema = "ts timestamp"
+    for i, seconds in enumerate(parts):
+        spark.createDataFrame([(at(9, 0, s),) for s in seconds], schema).coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        (part,) = (tmp_path / f"w{i}").glob("part-*.parquet")
+        target = tmp_path / "t" / f"{i}.parquet"
+        target.write_bytes(part.read_bytes())
+        os.utime(target, (time.time() - 1000 + i, time.time() - 1000 + i))
+    table = spark.read.schema(schema).parquet(str(tmp_path / "t"))
+    assert marks.disorder(table) == late * 1_000_000
+    for f in (tmp_path / "t").iterdir():
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    if len(parts) > 1:  # in any order
+        table = spark.read.schema(schema).parquet(str(tmp_path / "t"))
+        assert marks.disorder(table) == (max(map(max, parts)) - min(map(min, parts))) * 1_000_000
+
+
+@pytest.mark.parametrize("name", ["room_stats", "child_stats", "unsafe_alert_repeat", "missing_alert", "location_log", "registered_alert"])
+def test_no_events(spark, tmp_path, name):
+    for t in ("events", "customer"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    assert streams.QUERIES[f"stream_{name}"](spark, str(tmp_path)).count() == 0
