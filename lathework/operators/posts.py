@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lathework.functions.values import floored_max
@@ -28,10 +28,16 @@ def best_answers(posts: DataFrame) -> DataFrame:
     return questions.join(best, "id")
 
 
-def score_points(scored: DataFrame, tags: Sequence[str] = LANGUAGES, spread: int = SPREAD, strict: bool = False) -> DataFrame:
-    """(``id``, ``x``, ``y``): tag index times ``spread`` and score. Unknown tags are dropped, or fail when ``strict``."""
+def score_points(scored: DataFrame, tags: Sequence[str] = LANGUAGES, spread: int = SPREAD, strict: bool = False, counted: Observation | str | None = None) -> DataFrame:
+    """(``id``, ``x``, ``y``): tag index times ``spread`` and score. Unknown tags are dropped, or fail when ``strict``.
+
+    ``counted`` is given the numbers of posts with a known tag (``kept``) and without (``dropped``) by the
+    job that drops them: an Observation in a batch, a name in the progress of a stream.
+    """
     index = F.array_position(F.array(*[F.lit(t) for t in tags]), F.col("tag"))
     points = scored.select("id", (F.nullif(index, F.lit(0)) - 1).alias("at"), F.col("score").cast("bigint").alias("y"))
+    if counted is not None:
+        points = points.observe(counted, F.count_if(F.col("at").isNotNull()).alias("kept"), F.count_if(F.col("at").isNull()).alias("dropped"))
     if strict:
         known = F.when(F.col("at").isNull(), F.raise_error(F.lit("tag is not in the list"))).otherwise(F.col("at"))
         points = points.withColumn("at", known)

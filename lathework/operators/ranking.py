@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.text import mentioned
 from lathework.operators.text import ranked
+from lathework.plans.leaders import with_largest
 
 # The programming languages that are ranked and clustered, in index order.
 LANGUAGES = [
@@ -19,12 +20,9 @@ LANGUAGES = [
 
 def group_leader(df: DataFrame, group: str, item: str, measure: str) -> DataFrame:
     """(``group``, ``n``, ``item``, ``measure``): row count and the item with the largest measure, most rows first."""
-    out = df.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(F.col(item), F.struct(-F.col(measure), F.col(item))).alias(item),
-        F.max(measure).alias(measure),
-    )
-    return ranked(out, "n", [group])
+    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("n"))
+    leaders = with_largest(df.select(group, item, measure), [group], item, measure)
+    return ranked(leaders.join(sizes, F.col(group).eqNullSafe(F.col("_group"))).select(group, "n", item, measure), "n", [group])
 
 
 def mentions(docs: DataFrame, text: str, terms: Sequence[str] = LANGUAGES, keep: Sequence[str] = ()) -> DataFrame:

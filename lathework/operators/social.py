@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lathework.functions.values import floored_max
+from lathework.plans.leaders import with_largest
 
 MESSAGE = T.StructType([
     T.StructField("user", T.StructType([
@@ -28,9 +29,17 @@ def _parsed(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
     return df.select(F.from_json(F.col(raw), marked, options).alias("_record")).select("_record.*")
 
 
-def parse_json(df: DataFrame, raw: str, schema: T.StructType = MESSAGE, required: str | None = None) -> DataFrame:
-    """Fields of ``schema`` from the JSON text ``raw``; malformed records, and those without ``required``, are skipped."""
-    well = _parsed(df, raw, schema).where(F.col(CORRUPT).isNull())
+def parse_json(df: DataFrame, raw: str, schema: T.StructType = MESSAGE, required: str | None = None, counted: Observation | str | None = None) -> DataFrame:
+    """Fields of ``schema`` from the JSON text ``raw``; malformed records, and those without ``required``, are skipped.
+
+    ``counted`` is given the numbers of well-formed (``kept``) and malformed (``rejected``) records by
+    the job that parses them: an Observation in a batch, a name in the progress of a stream.
+    """
+    every = _parsed(df, raw, schema)
+    if counted is not None:
+        bad = F.col(CORRUPT).isNotNull()
+        every = every.observe(counted, F.count_if(~bad).alias("kept"), F.count_if(bad).alias("rejected"))
+    well = every.where(F.col(CORRUPT).isNull())
     return (well if required is None else well.where(F.col(required).isNotNull())).drop(CORRUPT)
 
 
@@ -58,8 +67,8 @@ def user_max(df: DataFrame, user: Column, value: Column) -> DataFrame:
 def user_top_tag(df: DataFrame, user: Column, tags: Column) -> DataFrame:
     """(``user``, ``messages``, ``tag``, ``tag_n``): message count and most used tag, null without tags.
 
-    A null marker per message rides along with its tags, so one two-level aggregation gives
-    both figures and no join is needed.
+    A null marker per message rides along with its tags, so one aggregation counts both; figures of
+    fixed width then stay in hash aggregation, and only the leading tags are compared as text.
     """
     marked = df.select(
         user.alias("user"),
@@ -67,8 +76,7 @@ def user_top_tag(df: DataFrame, user: Column, tags: Column) -> DataFrame:
     )
     counts = marked.groupBy("user", "tag").agg(F.count(F.lit(1)).alias("n"))
     tag = F.col("tag")
-    return counts.groupBy("user").agg(
-        F.sum(F.when(tag.isNull(), F.col("n"))).alias("messages"),
-        F.min_by(tag, F.when(tag.isNotNull(), F.struct(-F.col("n"), tag))).alias("tag"),
-        F.max(F.when(tag.isNotNull(), F.col("n"))).alias("tag_n"),
-    )
+    counts = counts.withColumn("tag_n", F.when(tag.isNotNull(), F.col("n")))
+    messages = counts.groupBy(F.col("user").alias("_user")).agg(F.sum(F.when(tag.isNull(), F.col("n"))).alias("messages"))
+    best = with_largest(counts, ["user"], "tag", "tag_n")
+    return best.join(messages, F.col("user").eqNullSafe(F.col("_user"))).select("user", "messages", "tag", "tag_n")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.text import neighbours, plain_words, words
+from lathework.plans.leaders import with_largest
 
 
 def word_count(df: DataFrame, text: str = "value", keep_empty: bool = False) -> DataFrame:
@@ -38,9 +39,9 @@ def bigram_count(df: DataFrame, text: str = "value") -> DataFrame:
 
 def top_by_group(df: DataFrame, group: str | Column, item: str, count: str = "n") -> DataFrame:
     """The ``item`` with the largest ``count`` in each ``group``, ties to the smaller item."""
-    group = F.col(group) if isinstance(group, str) else group
-    best = F.struct(-F.col(count), F.col(item))
-    return df.groupBy(group).agg(F.min_by(F.col(item), best).alias(item), F.max(count).alias(count))
+    column = F.col(group) if isinstance(group, str) else group
+    named = df.select(column, item, count)
+    return with_largest(named, [named.columns[0]], item, count)
 
 
 def top_bigram_by_initial(df: DataFrame, text: str = "value") -> DataFrame:

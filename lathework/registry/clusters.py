@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.operators import kmeans as km
@@ -36,6 +36,14 @@ def post_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _points(spark, folder)
 
 
+def post_points_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts whose tag is in the list and those that are dropped, counted by the job that drops them."""
+    counted = Observation()
+    po.score_points(po.best_answers(_posts(spark, folder)), TAGS[:-2], counted=counted).write.format("noop").mode("overwrite").save()
+    found = counted.get
+    return spark.range(1).select(*[F.lit(found[c]).cast("bigint").alias(c) for c in ("kept", "dropped")])
+
+
 def kmeans_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return _seeds(spark, folder)
 
@@ -76,7 +84,7 @@ def cluster_report(spark: SparkSession, folder: str) -> DataFrame:
     return km.cluster_report(hist, centres, po.SPREAD, TAGS)
 
 
-QUERIES = {f.__name__: f for f in (post_scores, kmeans_seeds, kmeans_seeds_global, kmeans_step, kmeans, kmeans_rounds, cluster_report)}
+QUERIES = {f.__name__: f for f in (post_scores, post_points_counted, kmeans_seeds, kmeans_seeds_global, kmeans_step, kmeans, kmeans_rounds, cluster_report)}
 
 _POINTS = """pts AS (
     SELECT o_orderkey AS id, CAST((list_position([""" + ", ".join(f"'{t}'" for t in TAGS) + f"""], o_orderpriority) - 1) * {po.SPREAD} AS BIGINT) AS x,
@@ -104,6 +112,9 @@ _LOOP = "WITH RECURSIVE " + _POINTS + f""",
 
 ORACLE = {
     "post_scores": "WITH " + _POINTS + "SELECT id, x, y FROM pts",
+    "post_points_counted": f"""
+        SELECT count(*) FILTER (WHERE tag IN ({", ".join(f"'{t}'" for t in TAGS[:-2])})) AS kept, count(*) FILTER (WHERE tag IS NULL OR tag NOT IN ({", ".join(f"'{t}'" for t in TAGS[:-2])})) AS dropped
+        FROM (SELECT o_orderpriority AS tag FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))""",
     "kmeans_seeds": "WITH " + _POINTS + f"SELECT x, y FROM drawn WHERE nth <= {km.KERNELS // len(TAGS)}",
     "kmeans_step": "WITH " + _POINTS + ", c(idx, x, y) AS (VALUES " + ", ".join(f"({i}, {x}, {y})" for i, (x, y) in enumerate(FIXED_CENTRES)) + f""")
         SELECT CAST(idx AS INTEGER) AS idx, CAST(sum(x * n) // sum(n) AS BIGINT) AS x, CAST(sum(y * n) // sum(n) AS BIGINT) AS y, CAST(sum(n) AS BIGINT) AS n FROM (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lathework import sinks, sources
@@ -111,7 +111,7 @@ def csv_stream(spark: SparkSession, folder: str) -> DataFrame:
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as pretty-printed records read back; every tenth conversation is cut off."""
     out = scratch_folder(spark)
-    tags = F.transform(F.slice(words(F.col("text")), 1, 3), lambda w: F.struct(F.regexp_replace(w, "[^A-Za-z]", "").alias("text")))
+    tags = F.transform(words(F.col("text")), lambda w: F.struct(F.regexp_replace(w, "[^A-Za-z]", "").alias("text")))
     record = F.struct(
         F.struct(F.col("role").alias("screen_name"), F.col("conv_id").alias("followers_count")).alias("user"),
         F.struct(tags.alias("hashtags")).alias("entities"))
@@ -129,6 +129,24 @@ def message_tags(spark: SparkSession, folder: str) -> DataFrame:
     return social.tag_counts(social.parse_json(_messages(spark, folder), "raw"), social.hashtags())
 
 
+def message_tags_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """Tags with the numbers of records that the same job has read and rejected."""
+    counted, out = Observation(), scratch_folder(spark)
+    social.tag_counts(social.parse_json(_messages(spark, folder), "raw", counted=counted), social.hashtags()).write.parquet(out)
+    found = counted.get
+    return spark.read.parquet(out).select("tag", "n", *[F.lit(found[c]).cast("bigint").alias(c) for c in ("kept", "rejected")])
+
+
+def stream_split_output(spark: SparkSession, folder: str) -> DataFrame:
+    """One pass over a stream written to two places."""
+    out = scratch_folder(spark)
+    done = F.col("o_orderstatus") == "F"
+    orders = sources.stream_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    sinks.stream_split(orders, [(done, f"{out}/done"), (~done, f"{out}/open")], f"{out}/all", f"{out}/progress", available_now=True).awaitTermination()
+    part = lambda name: spark.read.schema(orders.schema).parquet(f"{out}/{name}").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "*")
+    return part("done").union(part("open"))
+
+
 def message_users(spark: SparkSession, folder: str) -> DataFrame:
     parsed = social.parse_json(_messages(spark, folder), "raw")
     return social.user_max(parsed, F.col("user.screen_name"), F.col("user.followers_count"))
@@ -185,6 +203,7 @@ def moving_average_range(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     tabbed_rows, headed_rows, header_types, post_rows, lines_of_folders, article_lines, edge_lines, split_output, table_overwritten,
+    message_tags_counted, stream_split_output,
     csv_stream, message_counts, message_tags, message_users, merged_sources, clock_readings, report_lines, empty_tokens, phone_shapes,
     moving_average_range,
 )}
@@ -214,8 +233,15 @@ ORACLE = {
     "message_tags": """
         SELECT tag, count(*) AS n FROM (
           SELECT DISTINCT conv_id, turn, regexp_replace(tag, '[^A-Za-z]', '', 'g') AS tag FROM (
-            SELECT conv_id, turn, unnest(list_slice(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''), 1, 3)) AS tag
+            SELECT conv_id, turn, unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS tag
             FROM conversations WHERE conv_id % 10 <> 0)) GROUP BY tag""",
+    "message_tags_counted": """
+        SELECT tag, count(*) AS n, (SELECT count(*) FROM conversations WHERE conv_id % 10 <> 0) AS kept, (SELECT count(*) FROM conversations WHERE conv_id % 10 = 0) AS rejected FROM (
+          SELECT DISTINCT conv_id, turn, regexp_replace(tag, '[^A-Za-z]', '', 'g') AS tag FROM (
+            SELECT conv_id, turn, unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS tag
+            FROM conversations WHERE conv_id % 10 <> 0)) GROUP BY tag""",
+    "stream_split_output": """
+        SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS part, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL""",
     "message_users": 'SELECT role AS "user", greatest(max(conv_id), 0) AS value FROM conversations WHERE conv_id % 10 <> 0 GROUP BY role',
     "merged_sources": """
         SELECT CAST('2024-01-01' AS TIMESTAMP) AS ts, c_custkey AS child, '1000' AS room, c_name AS phone, 1 AS seq FROM customer

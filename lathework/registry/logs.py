@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lathework.functions.sql import register_functions, register_trailing_average
 from lathework.functions.text import before_last, field, matches
 from lathework.functions.values import tiered
 from lathework.operators import netlog, ordering, ranking, social, stocks, survey
 from lathework.operators.text import ranked
+from lathework.plans.folds import folded
 from lathework.registry.tables import table
 
 PROFILE_PREFIXES = {"primary_needs": ["l_quant", "l_ext"], "work": ["l_tax"], "other": ["l_disc", "l_line"]}
@@ -79,6 +82,25 @@ def moving_average(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.round("average", 6).alias("average"))
 
 
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """Trailing averages and ratios called from SQL text."""
+    register_functions(spark)
+    view = "lathework_prices"
+    table(spark, folder, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"), "l_extendedprice").createOrReplaceTempView(view)
+    register_trailing_average(spark, "lathework_trailing", view, "l_suppkey", "day", "l_extendedprice", 20)
+    return spark.sql("""
+        SELECT ticker AS l_suppkey, date_format(date, 'yyyy-MM-dd') AS day, price, round(average, 6) AS average, round(ratio(average, price), 6) AS growth, tiered(price) AS discount
+        FROM lathework_trailing(DATE '1995-01-01', DATE '1996-12-31')""")
+
+
+def two_largest_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The two largest different prices of each customer's orders, by a caller's own zero, seq and comb."""
+    both = lambda a, b: tuple(sorted({*a, *b}, reverse=True)[:2])
+    return folded(
+        table(spark, folder, "orders"), ["o_custkey"], ["o_totalprice"], zero=tuple, seq=lambda state, price: both(state, (price,)), comb=both,
+        done=lambda state: (*state, None, None)[:2], out=T.StructType([T.StructField("largest", T.DoubleType()), T.StructField("second", T.DoubleType())]))
+
+
 def growth(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
     periods = [(n, *(F.lit(d).cast("date") for d in (lo, hi))) for n, lo, hi in PERIODS]
@@ -103,7 +125,7 @@ def customer_ranking(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     blocked_by_source, blocked_log, top_distinct_targets, top_group_sum, host_before_last_delim, json_field_max,
-    grouped_profile, grouped_profile_sql, group_argmax, moving_average, growth, tiered_discount, range_sort, customer_ranking,
+    grouped_profile, grouped_profile_sql, group_argmax, moving_average, growth, sql_functions, two_largest_prices, tiered_discount, range_sort, customer_ranking,
 )}
 
 _PROFILE = """
@@ -152,6 +174,16 @@ ORACLE = {
                  / nullif(arg_min(o_totalprice, (CAST(o_orderdate AS DATE), o_orderkey)), 0) AS growth
         FROM orders JOIN p ON CAST(o_orderdate AS DATE) BETWEEN lo AND hi
         GROUP BY period, o_custkey HAVING count(*) > 1""",
+    "sql_functions": """
+        WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, max(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
+          a AS (SELECT *, coalesce(avg(price) OVER (PARTITION BY l_suppkey ORDER BY day ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 0.0) AS average FROM d)
+        SELECT l_suppkey, strftime(day, '%Y-%m-%d') AS day, price, round(average, 6) AS average, round(price / nullif(average, 0), 6) AS growth,
+               CASE WHEN price >= 1000 THEN price * CAST(0.05 AS DOUBLE) WHEN price >= 500 THEN price * CAST(0.02 AS DOUBLE)
+                    WHEN price >= 250 THEN price * CAST(0.01 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS discount
+        FROM a WHERE day BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'""",
+    "two_largest_prices": """
+        SELECT o_custkey, max(o_totalprice) FILTER (WHERE k = 1) AS largest, max(o_totalprice) FILTER (WHERE k = 2) AS second FROM (
+            SELECT o_custkey, o_totalprice, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS k FROM orders) GROUP BY o_custkey""",
     "tiered_discount": """
         SELECT c_custkey,
                CASE WHEN c_acctbal >= 1000 THEN c_acctbal * CAST(0.05 AS DOUBLE) WHEN c_acctbal >= 500 THEN c_acctbal * CAST(0.02 AS DOUBLE)

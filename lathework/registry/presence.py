@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.operators import presence
+from lathework.plans.asof import asof_join
 from lathework.registry.tables import table
 
 ROOMS = ["click", "error", "signup", "view", "never-seen"]
@@ -14,6 +15,10 @@ ORIGIN, EVERY, WIDTH = "2024-01-01 00:00:00", "6 hours", "1 day"
 MISSING_LIMIT, UNSAFE_LIMIT = "12 hours", "6 hours"
 
 
+#: Seconds at which the driver's customers register, spread over the month of the events.
+REGISTERED = "1704067200 + (c_custkey * 7919) % 2592000"
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         "event_id", "ts", F.col("user_id").alias("child"), F.col("event_type").alias("room"))
@@ -71,7 +76,15 @@ def unsafe_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("child", "start_ts", "room", "due_ts", "n")
 
 
-QUERIES = {f.__name__: f for f in (stays, location_log, missing_alert, unsafe_alert, unsafe_alert_repeat, unsafe_alert_counts, room_stats, child_stats)}
+def room_at_registration(spark: SparkSession, folder: str) -> DataFrame:
+    """The room a child was in when a customer registered: the last event at or before an arbitrary time of another table."""
+    asked = table(spark, folder, "customer").select(
+        "c_custkey", (F.col("c_custkey") % 150).alias("child"), F.timestamp_seconds(F.expr(REGISTERED)).cast("timestamp_ntz").alias("ts"))
+    known = table(spark, folder, "events").select(F.col("user_id").alias("child"), "ts", F.col("event_type").alias("room"), F.col("ts").alias("since"), "event_id")
+    return asof_join(asked, known, "child", "ts", ["room", "since"], ["event_id"], "1 day")
+
+
+QUERIES = {f.__name__: f for f in (room_at_registration, stays, location_log, missing_alert, unsafe_alert, unsafe_alert_repeat, unsafe_alert_counts, room_stats, child_stats)}
 
 _STAYS = f"""WITH ev AS (
     SELECT user_id AS child, event_type AS room, ts AS start_ts,
@@ -95,6 +108,10 @@ _GRID = f"""
 """
 
 ORACLE = {
+    "room_at_registration": f"""
+        SELECT c_custkey, a.child, a.ts, event_type AS room, e.ts AS since
+        FROM (SELECT c_custkey, c_custkey % 150 AS child, CAST(make_timestamp(1000000 * ({REGISTERED})) AS TIMESTAMP) AS ts FROM customer) a
+        ASOF LEFT JOIN events e ON a.child = e.user_id AND a.ts >= e.ts""",
     "stays": _STAYS + "SELECT child, room, start_ts, end_ts FROM s",
     "location_log": _STAYS + f"""
         , ticks AS (SELECT CAST(TIMESTAMP '{ORIGIN}' + k * INTERVAL '{EVERY}' AS TIMESTAMP) AS tick

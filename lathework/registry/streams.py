@@ -126,19 +126,15 @@ def stream_unsafe_alert_repeat(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(_time("now"), _child(), _time("start_ts"), "room")
 
 
-#: Registrations of the driver's customers, spread over the month of the events.
-_REGISTERED = f"{ORIGIN_US // 1_000_000} + (c_custkey * 7919) % 2592000"
-
-
 def stream_registered_alert(spark: SparkSession, folder: str) -> DataFrame:
     """Registrations (``customer``) and moves (``events``) as two streams: alerts with the phone known when they are due."""
     key = F.col("c_custkey")
     pad = lambda size: F.lpad((key % 10**size).cast("string"), size, "0")
     phone = F.when(key % 5 != 0, F.concat_ws("-", F.lit("239"), pad(3), pad(4)))
     told = lambda customers: customers.select(
-        F.timestamp_seconds(F.expr(_REGISTERED)).alias("ts"), (key % 150).alias("child"), (key + F.lit(2**40)).alias("seq"), phone.alias("phone"), *[c for c in customers.columns if c == "_metadata"])
+        F.timestamp_seconds(F.expr(batch.REGISTERED)).alias("ts"), (key % 150).alias("child"), (key + F.lit(2**40)).alias("seq"), phone.alias("phone"), *[c for c in customers.columns if c == "_metadata"])
     table_of = lambda name: table(spark, folder, name)
-    customers = table_of("customer").select("*", "_metadata").withColumn("ts", F.timestamp_seconds(F.expr(_REGISTERED)))
+    customers = table_of("customer").select("*", "_metadata").withColumn("ts", F.timestamp_seconds(F.expr(batch.REGISTERED)))
     delays = marks.delay_of(customers), _delay(spark, folder)
     last = max((x for x in (customers.agg(F.max(F.unix_micros("ts"))).first()[0], _last(spark, folder)) if x is not None), default=None)
     if last is None:
@@ -173,10 +169,19 @@ def stream_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows").select("num", "doc_id")
 
 
+def stream_numbered_tally(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered texts and the tally of chosen words from one pass: the tally beside the highest number."""
+    out = scratch_folder(spark)
+    lines = sources.stream_table(spark, folder, "documents").select("doc_id", "text")
+    sl.number_stream(lines, f"{out}/rows", f"{out}/progress", tallied=texts.TALLIED, text="text").awaitTermination()
+    highest = spark.read.parquet(f"{out}/rows").agg(F.max("num").alias("lines"))
+    return sl.with_zeros(sl.latest_tally(spark, f"{out}/rows"), texts.TALLIED).select("word", "n", highest.scalar().alias("lines"))
+
+
 QUERIES = {f.__name__: f for f in (
     stream_missing_alert, stream_unsafe_alert, stream_location_log, stream_room_stats, stream_child_stats,
     stream_unsafe_alert_repeat, stream_registered_alert,
-    stream_discount, stream_word_tally, stream_line_numbers,
+    stream_discount, stream_word_tally, stream_line_numbers, stream_numbered_tally,
 )}
 
 ORACLE = {
@@ -188,7 +193,7 @@ ORACLE = {
     "stream_unsafe_alert_repeat": batch.ORACLE["unsafe_alert_repeat"],
     "stream_registered_alert": f"""
         WITH told AS (
-            SELECT c_custkey % 150 AS child, CAST(make_timestamp(1000000 * ({_REGISTERED})) AS TIMESTAMP) AS ts, '1000' AS room, 1099511627776 + c_custkey AS seq,
+            SELECT c_custkey % 150 AS child, CAST(make_timestamp(1000000 * ({batch.REGISTERED})) AS TIMESTAMP) AS ts, '1000' AS room, 1099511627776 + c_custkey AS seq,
                    CASE WHEN c_custkey % 5 <> 0 THEN '239-' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') || '-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END AS phone FROM customer),
           every AS (SELECT * FROM told UNION ALL SELECT user_id, ts, event_type, event_id, NULL FROM events),
           led AS (
@@ -203,5 +208,6 @@ ORACLE = {
                     WHEN amount >= 250 THEN amount * CAST(0.01 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS line
         FROM (SELECT *, round(c_acctbal) AS amount FROM customer)""",
     "stream_word_tally": texts.ORACLE["word_tally"],
+    "stream_numbered_tally": "SELECT word, n, (SELECT count(*) FROM documents) AS lines FROM (" + texts.ORACLE["word_tally"] + ")",
     "stream_line_numbers": "SELECT row_number() OVER (ORDER BY doc_id) AS num, doc_id FROM documents",
 }

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from lathework.session import scratch_folder
+
 
 def _writer(df: DataFrame, overwrite: bool, single_file: bool):
     df = df.coalesce(1) if single_file else df
@@ -28,13 +29,30 @@ def write_table(df: DataFrame, path: str, overwrite: bool = False) -> None:
 
 
 def write_split(df: DataFrame, outputs: Sequence[tuple[Column, str]], overwrite: bool = False) -> None:
-    """Several filtered outputs of one computation, which runs once."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    """Several filtered outputs of one computation, which runs once: its rows are written below the shared folder, so a lost executor repeats nothing."""
+    kept = _kept(df, scratch_folder(df.sparkSession))
+    for condition, path in outputs:
+        write_table(kept.where(condition), path, overwrite)
+
+
+def _kept(df: DataFrame, folder: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def stream_split(stream: DataFrame, outputs: Sequence[tuple[Column, str]], folder: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Several filtered outputs of one pass over a stream, each in ``path``/batch=<id>.
+
+    A batch is computed once into ``folder`` and read from there for every output. It only rewrites
+    folders of its own id, so a batch that is repeated after a failure leaves the same files.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = _kept(batch, f"{folder}/batch={batch_id}")
         for condition, path in outputs:
-            write_table(kept.where(condition), path, overwrite)
-    finally:
-        kept.unpersist()
+            write_table(kept.where(condition), f"{path}/batch={batch_id}", overwrite=True)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def stream_to_lines(stream: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:

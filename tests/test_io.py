@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from lathework import sinks, sources
 from lathework.operators import social
 from lathework.sources import readers
+from lathework.streaming import lines as sl
 
 
 def put(path, text):
@@ -99,3 +102,60 @@ def test_scratch_is_dropped(spark):
             spark.read.parquet(folder)
     finally:
         session._scratch[:] = kept
+
+
+def test_a_repeated_batch_leaves_the_same_outputs(spark, rows, tmp_path):
+    """Two outputs of one pass; the second batch is lost after its outputs were written and is run again."""
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        spark.range(10 * i, 10 * i + 10).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    even = F.col("id") % 2 == 0
+    start = lambda: sinks.stream_split(stream, [(even, str(tmp_path / "even")), (~even, str(tmp_path / "odd"))], str(tmp_path / "all"), str(tmp_path / "cp"), True).awaitTermination()
+    start()
+    read = lambda name: rows(spark.read.parquet(str(tmp_path / name)).select("id"))
+    want = ([(i,) for i in range(0, 30, 2)], [(i,) for i in range(1, 30, 2)])
+    assert (sorted(read("even")), sorted(read("odd"))) == want
+    for f in (tmp_path / "cp" / "commits").iterdir():
+        if f.name.lstrip(".").startswith("2"):
+            f.unlink()
+    start()
+    assert (sorted(read("even")), sorted(read("odd"))) == want
+
+
+def test_numbers_and_tally_of_one_pass(spark, rows, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i, body in enumerate(["history one\nadventure history\n", "three\nhistory four\nfive\n"]):
+        f = tmp_path / "in" / f"{i}.txt"
+        f.write_text(body)
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    out = str(tmp_path / "num")
+    run = lambda: sl.number_stream(sources.stream_lines(spark, str(tmp_path / "in"), 1), out, str(tmp_path / "cp"), tallied=["history", "adventure"]).awaitTermination(120)
+    run()
+    check = lambda: (rows(sl.latest_tally(spark, out)), sorted(r.num for r in spark.read.parquet(out).collect()))
+    want = ([("adventure", 1), ("history", 3)], [1, 2, 3, 4, 5])
+    assert check() == want
+    for f in (tmp_path / "cp" / "commits").iterdir():
+        if f.name.lstrip(".").startswith("1"):
+            f.unlink()
+    run()
+    assert check() == want
+
+
+def test_dropped_records_are_counted_by_the_job_that_drops_them(spark, rows, tmp_path):
+    from pyspark.sql import Observation
+
+    from lathework.operators import posts, social
+
+    raw = spark.createDataFrame([('{"user": {"screen_name": "a"}}',), ("{broken",), ("{",), ('{"user": null}',)], "raw string")
+    counted = Observation()
+    assert social.parse_json(raw, "raw", counted=counted).count() == 2 and counted.get == {"kept": 2, "rejected": 2}
+    scored = spark.createDataFrame([(1, "Java", 5), (2, "none", 6), (3, None, 7)], "id bigint, tag string, score int")
+    counted = Observation()
+    assert posts.score_points(scored, counted=counted).count() == 1 and counted.get == {"kept": 1, "dropped": 2}
+    raw.write.parquet(str(tmp_path / "raw"))
+    stream = social.parse_json(spark.readStream.schema("raw string").parquet(str(tmp_path / "raw")), "raw", counted="json")
+    query = sinks.stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+    query.awaitTermination(120)
+    seen = [p["observedMetrics"]["json"] for p in query.recentProgress if p.get("observedMetrics", {}).get("json")]
+    assert sum(s["kept"] for s in seen) == 2 and sum(s["rejected"] for s in seen) == 2
