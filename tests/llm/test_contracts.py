@@ -1,0 +1,142 @@
+"""What each registered query promises about its rows, over whole small tables; the brute-force tests of the operators are beside this."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import zlib
+from collections import defaultdict
+
+import pytest
+
+import __spark_entry__ as driver
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return {r.doc_id: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").collect()}
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    """The rows of a query, which runs once."""
+    done = {}
+
+    def rows(name, columns):
+        if name not in done:
+            df = driver.queries()[name](spark, FOLDER)
+            done[name] = df.columns, df.collect()
+        assert done[name][0][:len(columns.split())] == columns.split()
+        return done[name][1]
+    return rows
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_every_operator_is_registered_once():
+    names = [n for n in driver.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+    without = {n for n in driver.queries() if n not in driver.oracle_sql()}
+    assert without <= {*names, "pipeline"}  # every other query has SQL beside it
+
+
+def test_op1(spark, result):
+    rows = result("op1_warc_derivatives", "page_id warc_type")
+    pages = [r.page_id for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()]
+    assert sorted((r.page_id, r.warc_type) for r in rows) == sorted((p, t) for p in pages for t in ("metadata", "conversion"))
+    assert len({r.record_id for r in rows}) == len(rows) and all(r.refers_to and not r.problem for r in rows)
+    assert all(r.content_length == len(r.block.encode()) for r in rows)
+
+
+def test_op2(result, documents):
+    rows = result("op2_packing", "doc_id start length ids_crc32 doc_tokens sequence_id offset")
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
+        windows[r.sequence_id].append((r.offset, r.length))
+    assert pieces.keys() == documents.keys()
+    for own in [*([(s, n) for s, n, _ in p] + [(p[0][2], 0)] for p in pieces.values()), *(w + [(sum(n for _, n in w), 0)] for w in windows.values())]:
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))  # gapless
+    assert max(sum(n for _, n in w) for w in windows.values()) <= 2048
+    assert sum(r.length for r in rows) / (2048 * len(windows)) > 0.98
+
+
+def test_op3(spark, result):
+    rows = result("op3_main_text", "page_id url text n_chars")
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").collect()
+    assert sorted((r.page_id, r.url) for r in rows) == sorted((p.page_id, p.url) for p in pages)
+    assert all(r.n_chars == len(r.text) and all(line == " ".join(line.split()) and line for line in r.text.split("\n") if r.text) for r in rows)
+
+
+def test_op4(result, documents):
+    rows = {r.doc_id: r for r in result("op4_fingerprints", "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next")}
+    ids = list(documents)
+    assert list(rows) and rows.keys() == documents.keys()
+    for i, doc_id in enumerate(ids):
+        text, following = documents[doc_id].text or "", documents[ids[(i + 1) % len(ids)]].text or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        r = rows[doc_id]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    prints = defaultdict(set)
+    for doc_id, r in rows.items():
+        prints[documents[doc_id].text or ""].add(r.fingerprint)
+    assert all(len(p) == 1 for p in prints.values())
+
+
+def test_op5(result, documents):
+    rows = result("op5_toxicity", "doc_id held_out score predicted")
+    assert sorted(r.doc_id for r in rows) == sorted(documents)
+    assert all(r.held_out == held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+
+
+def test_op6(result, documents):
+    from test_pii import plain
+
+    for r in result("op6_pii", "doc_id n_email n_ip n_card n_phone base_sha256 spans"):
+        base = plain(documents[r.doc_id].text or "")
+        kinds = ["email", "ip", "card", "phone"]
+        said = ",".join(f"{k}:{s}:{e}" for k in kinds for kind, s, e in base if kind == k)
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest() and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in kinds]
+        assert set(filter(None, said.split(","))) <= set(r.spans.split(","))
+
+
+def test_op7(spark, result, documents):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
+    rows = result("op7_decontamination", "doc_id item_id")
+    found = {(r.doc_id, r.item_id) for r in rows}
+    assert len(found) == len(rows) and all(0.5 <= r.coverage <= 1 for r in rows)
+    assert {(d, i) for d, doc in documents.items() for i, text in items.items() if text and text in (doc.text or "")} <= found
+
+
+def test_op8(result, documents):
+    rows = result("op8_language", "doc_id held_out lang_pred score")
+    learnt = {d.lang for i, d in documents.items() if d.lang and not held_out(i)}
+    assert sorted(r.doc_id for r in rows) == sorted(documents)
+    for r in rows:
+        blank = not any(map(str.isalpha, documents[r.doc_id].text or ""))
+        assert r.held_out == held_out(r.doc_id) and 0 <= r.score <= 1 and (r.lang_pred == "und" if blank else r.lang_pred in learnt)
+
+
+def test_op9(result, documents):
+    rows = result("op9_hilbert_shards", "doc_id size text_crc32 law shard slot grown_shard")
+    slots = defaultdict(list)
+    for r in rows:
+        raw = (documents[r.doc_id].text or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+        slots[r.shard].append(r.slot)
+    counts = [len(slots[i]) for i in range(8)]
+    assert sum(counts) == len(documents) and max(counts) - min(counts) <= 1 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_op12(spark, result):
+    rows = result("op12_whitening", "vec_id component n deviation whitened explained identity_error")
+    ids = [r.vec_id for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
+    assert sorted((r.vec_id, r.component) for r in rows) == sorted((i, c) for i in ids for c in range(1, 5))
+    assert len({r.n for r in rows}) == 1 and max(r.identity_error for r in rows) < 1e-4

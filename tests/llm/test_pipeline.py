@@ -95,3 +95,26 @@ def test_rows_that_share_a_doc_id_or_have_none(spark):
     assert {(1, clean), (1, other), (2, item), (2, "a clean text"), (None, None)} < set(kept)
     left = {tuple(r) for r in cp.decontaminate(spark, docs, FOLDER).collect()}
     assert left == set(rows) - {(2, item), (None, item + " end")}
+
+
+def test_groups_equal_all_pairs_of_five_words(spark):
+    """The near-duplicates stage over the whole small table against all pairs of its texts."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    sets = {}
+    for r in docs.collect():
+        w = (r.text or "").encode().lower().split()
+        sets[r.doc_id] = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+    ids = sorted(sets)
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    want = [i for i in ids if find(i) == i]
+    assert sorted(r.doc_id for r in cp.one_of_each_group(spark, docs, FOLDER).collect()) == want and len(want) < len(ids)

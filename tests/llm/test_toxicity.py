@@ -40,3 +40,43 @@ def test_odd_and_empty(spark, odd_documents, no_documents):
     assert t.scored(no_documents, model).count() == 0
     none = t.fit_on(odd_documents, labels.limit(0))
     assert {r.score for r in t.scored(odd_documents, none).collect()} == {0.5}
+
+
+def test_fit_reaches_the_optimum_of_a_plain_minimiser():
+    """Loss written down row by row; its gradient by differences; long plain descent from other weights ends no lower."""
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    vocabulary = [f"word{i}" for i in range(12)]
+    texts = [" ".join(random.choice(vocabulary[:8] if i % 2 else vocabulary[4:], 9)) + (" women" if i % 3 == 0 else "") for i in range(80)]
+    labels = [i % 2 for i in range(80)]
+    model = t.fit(texts, labels, rounds=3000)
+    names = sorted({f for x in texts for w in t.word_counts(x) for f in t.word_features(w)} | {f for x in t.IDENTITY_TERMS for f in t.word_features(x)})
+    used = [n for n in names if n in model.weights]
+
+    def vector(counts):
+        totals = t._features(counts)
+        return np.array([1.0, np.log1p(counts.total())] + [np.log1p(totals.get(n, 0)) for n in used])
+
+    x = np.array([vector(t.word_counts(text)) for text in texts])
+    d = x - np.array([vector(t.counterfactual(t.word_counts(text), i, t.IDENTITY_TERMS)) for i, text in enumerate(texts)])
+    y, ridge = np.array(labels, dtype=float), np.array([0.0] + [t.RIDGE] * (len(used) + 1))
+
+    def loss(w):
+        z = x @ w
+        return float(np.mean(np.logaddexp(0, z) - y * z) + t.COUNTERFACTUAL * np.mean((d @ w) ** 2) + 0.5 * np.sum(ridge * w**2))
+
+    def slope(w):
+        z = x @ w
+        return x.T @ (1 / (1 + np.exp(-z)) - y) / len(y) + 2 * t.COUNTERFACTUAL * d.T @ (d @ w) / len(y) + ridge * w
+
+    w = np.array([model.bias, model.length] + [model.weights[n] for n in used])
+    step = 1e-5
+    numeric = [(loss(w + step * e) - loss(w - step * e)) / (2 * step) for e in np.eye(len(w))]
+    assert np.allclose(numeric, slope(w), atol=1e-6)
+    other = np.zeros(len(w))
+    rate = 1 / (np.linalg.norm(x, 2) ** 2 / (4 * len(y)) + 2 * np.linalg.norm(d, 2) ** 2 / len(y) + t.RIDGE)
+    for _ in range(20_000):
+        other -= rate * slope(other)
+    assert loss(w) <= loss(other) + 1e-4
+    assert np.allclose([t.score_counts(model, t.word_counts(text)) for text in texts], 1 / (1 + np.exp(-x @ w)), atol=1e-9)
