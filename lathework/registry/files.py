@@ -89,6 +89,15 @@ def split_output(spark: SparkSession, folder: str) -> DataFrame:
     return part("done").union(part("open"))
 
 
+def single_file_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A small report as one delimited file, read back with the number of its files."""
+    out = scratch_folder(spark)
+    report = _orders(spark, folder).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    sinks.write_delimited(report, out, single_file=True)
+    read = sources.delimited(spark, out, "o_orderpriority string, n bigint", "\t")
+    return read.withColumn("files", F.lit(len(read.inputFiles())))
+
+
 def table_overwritten(spark: SparkSession, folder: str) -> DataFrame:
     """A second write takes the first one's place."""
     out = scratch_folder(spark)
@@ -203,7 +212,7 @@ def moving_average_range(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     tabbed_rows, headed_rows, header_types, post_rows, lines_of_folders, article_lines, edge_lines, split_output, table_overwritten,
-    message_tags_counted, stream_split_output,
+    message_tags_counted, stream_split_output, single_file_report,
     csv_stream, message_counts, message_tags, message_users, merged_sources, clock_readings, report_lines, empty_tokens, phone_shapes,
     moving_average_range,
 )}
@@ -225,6 +234,7 @@ ORACLE = {
     "edge_lines": "SELECT l_orderkey AS src, count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS total FROM lineitem WHERE l_linenumber < 6 GROUP BY 1",
     "split_output": """
         SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS part, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL""",
+    "single_file_report": "SELECT o_orderpriority, count(*) AS n, 1 AS files FROM orders GROUP BY o_orderpriority",
     "table_overwritten": f"SELECT {_COLUMNS} FROM orders WHERE o_orderstatus = 'O'",
     "csv_stream": f"""
         SELECT c_custkey || ', ' || c_mktsegment || c_name || ', ' || amount || ', ' || {_LINE} AS line
