@@ -9,18 +9,21 @@ each bin make up the fingerprint. Two bins agree by chance with probability
 
 The next document's text is a successor in doc_id order. Buckets of neighbouring ids, bounded by
 approximate quantiles, are the window groups; the first row of each bucket is added as an extra
-last row of the bucket before it, so texts are exchanged once and no group is unbounded.
+last row of the bucket before it, so texts are exchanged once. An id of very many rows (or none, for rows without one) is a
+bucket of its own, cut into parts by a hash of the text; only rows equal in id and text share a part in any number.
 
 Defined cases: a null text is empty; a text of fewer words than a shingle has its whole
 sequence as one; a text without words has the fingerprint of zeros; the likeness of two texts without
-words is 1; a null doc_id sorts first; repeated ids follow each other by text; the only
+words is 1; a null doc_id sorts first; repeated ids follow each other by text (by its hash, where they are very many); the only
 document is its own successor; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -124,50 +127,82 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), ((BINS - other) / F.lit(float(BINS)) - chance) / (1 - chance)))
 
 
-def bucket_bounds(docs: DataFrame, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
-    """Quantiles of the ids, ``MOST_BUCKETS`` at most."""
+@dataclass(frozen=True)
+class Buckets:
+    """Runs of neighbouring keys: the least key of every bucket but the first, and into how many parts each bucket is cut."""
+
+    bounds: list[int]
+    parts: list[int]
+
+    def of(self, key: Column) -> Column:
+        """The number of bounds that are not above ``key``, by bisection."""
+        if not self.bounds:
+            return F.lit(0)
+        table = F.from_json(F.lit(json.dumps(self.bounds)), "array<bigint>")
+        steps = F.array(*[F.lit(1 << p) for p in range(len(self.bounds).bit_length() - 1, -1, -1)])
+        return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(table, low + step - 1) <= key, low + step).otherwise(low))
+
+    def spread(self, bucket: Column, text: Column) -> Column:
+        """The order of rows that share a key of many rows: a hash of 63 bits of their text; 0 elsewhere."""
+        if max(self.parts) == 1:
+            return F.lit(0).cast("bigint")
+        return F.when(self._parts(bucket) > 1, F.shiftrightunsigned(F.xxhash64(text), 1)).otherwise(F.lit(0).cast("bigint"))
+
+    def part(self, bucket: Column, spread: Column) -> Column:
+        if max(self.parts) == 1:
+            return F.lit(0)
+        return F.least(F.floor(spread / F.lit(2.0**63) * self._parts(bucket)).cast("int"), self._parts(bucket) - 1)
+
+    def _parts(self, bucket: Column) -> Column:
+        return F.get(F.from_json(F.lit(json.dumps(self.parts)), "array<int>"), bucket)
+
+
+def key_buckets(docs: DataFrame, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET) -> Buckets:
+    """By quantiles of the ids, ``MOST_BUCKETS`` at most.
+
+    A key that several quantiles fall on has about so many times ``rows_per_bucket`` rows: it becomes a bucket of its own, which is cut
+    into as many parts and one more by a hash of the text.
+    """
     ids = docs.select(key.alias("k"))
     buckets = min(MOST_BUCKETS, -(-ids.count() // rows_per_bucket))
     if buckets < 2:
-        return []
+        return Buckets([], [1])
     quantiles = F.percentile_approx("k", [i / buckets for i in range(1, buckets)], max(10_000, 10 * buckets))
-    return sorted(set(ids.agg(quantiles).first()[0]))
-
-
-def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """The number of bounds that are not above ``key``, by bisection."""
-    if not bounds:
-        return F.lit(0)
-    table = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
-    steps = F.array(*[F.lit(1 << p) for p in range(len(bounds).bit_length() - 1, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(table, low + step - 1) <= key, low + step).otherwise(low))
+    times = Counter(ids.agg(quantiles).first()[0])
+    heavy = {k: n for k, n in times.items() if n > 1}
+    bounds = sorted({*times, *(k + 1 for k in heavy if k < (1 << 63) - 1)})
+    return Buckets(bounds, [1, *(heavy.get(k, 0) + 1 for k in bounds)])
 
 
-def with_successor(rows: DataFrame, key: str, order: list[str], bounds: list[int], derived: dict[str, Column]) -> DataFrame:
-    """``rows`` with ``derived`` columns and, for them and ``order``, ``next_<c>`` from the following row.
+def with_successor(rows: DataFrame, key: str, text: str, buckets: Buckets, derived: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``derived`` columns and, for them and ``text``, ``next_<c>`` from the following row.
 
-    Rows follow each other by ``key``, then ``order``; the first row follows the last. Derived
-    columns are computed once for each row and once more for the first row of a bucket.
+    Rows follow each other by ``key``, then ``text`` (by its hash first where a key has many rows); the first row follows the last. Derived
+    columns are computed once for each row and once more for the first row of a part of a bucket.
     """
-    placed = rows.withColumn("_bucket", bucket_of(F.col(key), bounds))
-    heads = placed.groupBy("_bucket").agg(F.min(key).alias("_head"))
-    around = Window.orderBy("_bucket")  # one row per bucket
-    heads = heads.select("_head", F.coalesce(F.lag("_bucket").over(around), F.max("_bucket").over(Window.partitionBy(F.lit(0)))).alias("_goes"))
-    firsts = placed.join(F.broadcast(heads), F.col(key) == F.col("_head"))  # at most MOST_BUCKETS heads
-    extra = firsts.groupBy("_goes").agg(F.min(F.struct(key, *order)).alias("_r")).select(
-        F.col("_goes").alias("_bucket"), *[F.col(f"_r.{c}").alias(c) for c in (key, *order)], F.lit(True).alias("_extra"))
+    order = ["_spread", text]
+    placed = rows.withColumn("_bucket", buckets.of(F.col(key)))
+    placed = placed.withColumn("_spread", buckets.spread(F.col("_bucket"), F.col(text))).withColumn("_part", buckets.part(F.col("_bucket"), F.col("_spread")))
+    group = ["_bucket", "_part"]
+    heads = placed.groupBy(*group).agg(F.min(key).alias("_head"), F.min("_spread").alias("_least"))  # a bucket of parts has one key
+    around, every = Window.orderBy(*group), Window.partitionBy(F.lit(0))  # one row per part
+    latest = F.max(F.struct(*group)).over(every)
+    heads = heads.select("_head", "_least", *[F.coalesce(F.lag(g).over(around), latest.getField(g)).alias(f"_goes{g}") for g in group])
+    firsts = placed.join(F.broadcast(heads), (F.col(key) == F.col("_head")) & (F.col("_spread") == F.col("_least")))  # at most MOST_BUCKETS heads and as many parts
+    extra = firsts.groupBy(*[f"_goes{g}" for g in group]).agg(F.min(F.struct(key, *order)).alias("_r")).select(
+        *[F.col(f"_goes{g}").alias(g) for g in group], *[F.col(f"_r.{c}").alias(c) for c in (key, *order)], F.lit(True).alias("_extra"))
     both = placed.withColumn("_extra", F.lit(False)).unionByName(extra, allowMissingColumns=True).withColumns(derived)
-    within = Window.partitionBy("_bucket").orderBy("_extra", key, *order)
-    led = both.select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in (*order, *derived)])
-    return led.where("NOT _extra").drop("_bucket", "_extra")
+    within = Window.partitionBy(*group).orderBy("_extra", key, *order)
+    led = both.select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in (text, *derived)])
+    return led.where("NOT _extra").drop(*group, "_spread", "_extra")
 
 
 def edited_fingerprints(docs: DataFrame, size: int = SHINGLE, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Fingerprints of every text and of its edit: its second half gives way to the next document's beginning."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    bounds = bucket_bounds(docs, key, rows_per_bucket)
+    buckets = key_buckets(docs, key, rows_per_bucket)
     rows = docs.select(key.alias("_key"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    led = with_successor(rows, "_key", ["text"], bounds, {"fp": fingerprint(F.col("text"), size)})
+    led = with_successor(rows, "_key", "text", buckets, {"fp": fingerprint(F.col("text"), size)})
     led = led.withColumn("n_chars", F.char_length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))

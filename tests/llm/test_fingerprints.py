@@ -65,5 +65,28 @@ def test_the_only_document_follows_itself(spark):
 
 @pytest.mark.parametrize("bounds", [[], [5], [1, 2, 3], list(range(0, 90, 9))])
 def test_bisection(spark, bounds):
-    got = spark.range(-3, 100).select("id", f.bucket_of(F.col("id"), bounds).alias("b")).collect()
+    got = spark.range(-3, 100).select("id", f.Buckets(bounds, [1] * (len(bounds) + 1)).of(F.col("id")).alias("b")).collect()
     assert all(r.b == sum(x <= r.id for x in bounds) for r in got)
+
+
+@pytest.mark.parametrize("shared", [None, 50])
+def test_rows_that_share_an_id_are_cut_into_parts(spark, shared):
+    """A third of the rows without an id, or of one id: parts of bounded size, and still one cycle of successors over all rows."""
+    rows = [(shared if i % 3 == 0 else i, f"text {i:04d} begins and its second half ends here, {i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    buckets = f.key_buckets(docs, key, 20)
+    placed = docs.withColumn("b", buckets.of(key)).withColumn("s", buckets.spread(F.col("b"), F.col("text"))).withColumn("p", buckets.part(F.col("b"), F.col("s")))
+    assert max(r["count"] for r in placed.groupBy("b", "p").count().collect()) < 60
+    out = f.edited_fingerprints(docs, rows_per_bucket=20).collect()
+    half = {t: (t[:len(t) - len(t) // 2], len(t) // 2) for _, t in rows}
+    sha = {hashlib.sha256((half[t][0] + u[:half[t][1]]).encode()).hexdigest(): (t, u) for _, t in rows for _, u in rows}
+    follows = dict(sha[r.edited_sha256] for r in out)
+    assert len(out) == len(follows) == len(set(follows.values())) == 600
+    at, seen = rows[0][1], set()
+    while at not in seen:
+        seen.add(at)
+        at = follows[at]
+    assert len(seen) == 600
+    ids = {t: -1 if i is None else i for i, t in rows}
+    assert sum(ids[u] < ids[t] for t, u in follows.items()) == 1  # ids rise but for the way back to the first
