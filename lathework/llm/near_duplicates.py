@@ -27,7 +27,9 @@ columns are not read.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ MOST_CACHED = 150_000
 AT_ONCE = 4096
 BITMAP_BITS = 1 << 23
 COUNTERS = 1 << 18
+PARITY_WORDS = 8
+BEFORE = 4
 
 SIGNED = "doc_id bigint, n_shingles bigint, words_digest binary, signature binary, bands array<bigint>"
 
@@ -259,8 +263,17 @@ def _compare(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, size: int
     return kept(confirmed(with_texts, size, percent).distinct())
 
 
-def rare_shingles(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id``, ``n``, ``place`` and ``key`` of the rarest shingles of every text, rarest first.
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Bits that tell of ``64 * PARITY_WORDS`` remainders whether an odd number of the hashes has it.
+
+    A hash that only one of two sets holds flips one bit, so the bits in which the sets differ are no more than such hashes.
+    """
+    odd = np.bincount(np.mod(hashes, 64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def rare_shingles(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``n``, ``place``, ``key`` and the ``before`` last keys of the rarest shingles of every text, rarest first; and ``doc_id`` with its ``parity`` bits.
 
     A link needs ``percent`` of either set in common, so all but that share and one more, in any order that is
     the same for all texts, meet. The order is by counts of hash remainders over all
@@ -288,7 +301,14 @@ def rare_shingles(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 sizes.append(len(h))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "keys"])
 
-    return hashed.mapInArrow(rarest, "doc_id bigint, n bigint, keys array<bigint>").select("doc_id", "n", F.posexplode("keys").alias("place", "key"))
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parities(row.values.to_numpy()) for row in batch.column(1)], pa.list_(pa.int64()))], ["doc_id", "parity"])
+
+    before = F.slice("keys", F.greatest(F.col("place") - BEFORE + 1, F.lit(1)), F.least(F.col("place"), F.lit(BEFORE)))
+    rare = hashed.mapInArrow(rarest, "doc_id bigint, n bigint, keys array<bigint>").select("doc_id", "n", "keys", F.posexplode("keys").alias("place", "key"))
+    rare = rare.select("doc_id", "n", "place", "key", before.alias("before"))
+    return rare, hashed.mapInArrow(bits, "doc_id bigint, parity array<bigint>").groupBy("doc_id").agg(F.first("parity").alias("parity"), F.count(F.lit(1)).alias("_texts"))
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -310,20 +330,27 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, docs: DataFrame, size: int
 
     They are looked for among the documents of bands that hold more than one component. Of two
     linked sets the smaller (by size, then id) has the pair's common share in the larger, so
-    it meets the other with fewer of its rarest shingles; and what follows the first common shingle on
-    either side must be enough for the overlap a link needs.
+    it meets the other with fewer of its rarest shingles; what follows the first common shingle on
+    either side must be enough for the overlap a link needs; and no more parity bits may differ than a link allows the sets
+    to differ, so that members of a large group of texts just below the threshold don't meet each other.
     """
     ids = kept(_mixed(shared.select("band", "doc_id"), labels, "band").select("doc_id").distinct())
-    rare = rare_shingles(rows_of(docs, ids), size, percent)
-    keys = kept(_mixed(rare, labels, "key").withColumn("outside", F.col("component") != F.col("main")))
+    rare, bits = rare_shingles(rows_of(docs, ids), size, percent)
+    open_keys = _mixed(rare, labels, "key").withColumn("outside", F.col("component") != F.col("main"))
+    # several texts under one id have no parity of their own, so nothing is concluded from it
+    own = bits.select("doc_id", F.when(F.col("_texts") == 1, F.col("parity")).alias("parity"))
+    keys = kept(open_keys.join(own, "doc_id"))
     least = lambda total: F.ceil(percent * total / (100 + percent))  # noqa: E731  # overlap of linked sets of ``total`` together
     small = keys.where(F.col("place") <= F.col("n") - least(2 * F.col("n"))).select(
-        "key", *[F.col(c).alias(f"small_{c}") for c in ("doc_id", "n", "place", "component", "outside")])
+        "key", *[F.col(c).alias(f"small_{c}") for c in ("doc_id", "n", "place", "component", "outside", "parity", "before")])
     need = least(F.col("small_n") + F.col("n"))
+    differing = reduce(operator.add, [F.bit_count(F.col("small_parity")[i].bitwiseXOR(F.col("parity")[i])) for i in range(PARITY_WORDS)])
     meet = (
         (F.col("small_component") != F.col("component"))
         & (F.struct("small_n", "small_doc_id") < F.struct("n", "doc_id"))
         & (F.col("small_n") - F.col("small_place") >= need) & (F.col("n") - F.col("place") >= need)
+        & ~F.arrays_overlap("small_before", "before")  # the pair meets at such a key already
+        & F.coalesce(differing <= F.col("small_n") + F.col("n") - 2 * need, F.lit(True))
     )
     pairs = small.where("small_outside").join(keys, "key").where(meet).union(small.where("NOT small_outside").join(keys.where("outside"), "key").where(meet))
     return pairs.select(F.least("small_doc_id", "doc_id").alias("a"), F.greatest("small_doc_id", "doc_id").alias("b")).distinct()

@@ -98,3 +98,15 @@ def test_bounds_keep_pairs_at_the_threshold():
 def test_components(spark, edges, want):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     assert {r.node: r.component for r in nd.components(df).collect()} == want
+
+
+def test_parities_differ_by_no_more_than_the_sets():
+    import numpy as np
+
+    random = np.random.default_rng(8)
+    for _ in range(200):
+        both = random.integers(-2**63, 2**63 - 1, random.integers(0, 400))
+        a, b = (np.unique(np.concatenate([both, random.integers(-2**63, 2**63 - 1, random.integers(0, 60))])) for _ in range(2))
+        bits = sum(bin(int(x) & (2**64 - 1)).count("1") for x in nd.parities(a) ^ nd.parities(b))
+        assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+    assert nd.parities(np.array([], dtype=np.int64)).tolist() == [0] * nd.PARITY_WORDS
