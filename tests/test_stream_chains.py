@@ -88,6 +88,69 @@ def test_restated_alerts_equal_the_batch_and_leave_no_state(spark, rows, tmp_pat
     assert joined and joined[-1]["numRowsTotal"] == 0  # the watermark has passed all buckets
 
 
+def test_pieces_and_events_meet_as_arrays(spark, rows, tmp_path, event_stream):  # noqa: F811
+    """The join's state has rows for shares and parts of a bucket, not for each event; copies of an event are told each."""
+    events = [(0, at(9), "k", "26"), (1, at(9), "m", "26")] + [(2 + i, at(9, 20 + i // 10, i % 5), f"c{i % 7}", "1") for i in range(300)]
+    table, stay, last = frames(spark, events)
+    width = "30 minutes"
+    until = us(max(e[1] for e in events)) // sp.micros(width) * sp.micros(width) + sp.micros(width)
+    got, query = to_its_end(spark, tmp_path, lambda m: restated.repeated_alerts(event_stream(events), m, "15 minutes", width, "26", shares=1), until)
+    want = rows(presence.repeated_alerts(table, stay, last, "15 minutes", sp.micros(width), "26"))
+    assert rows(got.select("now", "child", "start_ts", "room")) == want and len(want) == 600
+    kept = sum(s["numRowsUpdated"] for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"] == "symmetricHashJoin")
+    assert kept < len(events) / 2
+
+
+class HeldTexts:
+    """The list state of one key."""
+
+    def __init__(self):
+        self.texts, self.messages = [], 0
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self
+
+    def appendList(self, texts):  # noqa: N802
+        self.texts += texts
+        self.messages += 1
+
+    def exists(self):
+        return bool(self.texts)
+
+    def get(self):
+        return iter(list(self.texts))
+
+    def clear(self):
+        self.texts = []
+
+
+def test_waiting_rows_are_packed():
+    held = HeldTexts()
+    waiting = sp.Waiting(held)
+    rows_ = [(10_000 - i, i, None if i % 2 else 'room "\n1"', "239") for i in range(1000)]
+    assert waiting.add(iter(rows_)) == 9001 and len(held.texts) == 4 and held.messages == 1
+    assert waiting.add([(5, 1, "x", None)]) == 5
+    assert waiting.split(5) == ([], [*rows_, (5, 1, "x", None)]) and len(held.texts) == 5
+    ready, left = waiting.split(9501)
+    assert ready == [*rows_[500:], (5, 1, "x", None)] and left == rows_[:500] and len(held.texts) == 2
+    assert waiting.split(10**9) == (rows_[:500], []) and not held.exists() and waiting.split(10**9) == ([], [])
+
+
+@pytest.mark.parametrize("processor", [restated.StandingPieces(1, 1)])
+def test_processors_keep_rows_packed(processor):
+    made = []
+
+    class Handle(HeldTexts):
+        def getValueState(self, name, schema):  # noqa: N802
+            return None
+
+        def getListState(self, name, schema):  # noqa: N802
+            made.append(schema)
+
+    processor.init(Handle())
+    assert made == [sp.WAITING] and sp.WAITING.names == ["rows"]
+
+
 def written_stream(spark, folder, rows_, schema, files):
     folder.mkdir()
     size = max(-(-len(rows_) // files), 1)
