@@ -204,9 +204,10 @@ def phone_shapes(spark: SparkSession, folder: str) -> DataFrame:
 
 def moving_average_range(spark: SparkSession, folder: str) -> DataFrame:
     """Trailing averages of two years; their first days look back past the range."""
-    daily = table(spark, folder, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(F.max("l_quantity").alias("price"))
+    lines, tasks = stocks.dealt_daily(table(spark, folder, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"), "l_quantity"), "l_suppkey", "day")
+    daily = lines.groupBy("l_suppkey", "day").agg(F.max("l_quantity").alias("price"))
     first, last = (F.to_date(F.lit(d)) for d in SPAN)
-    out = stocks.trailing_average(daily, "l_suppkey", "day", "price", 20, first, last)
+    out = stocks.trailing_average(daily, "l_suppkey", "day", "price", 20, first, last, tasks)
     return out.select("l_suppkey", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("average", 6).alias("average"))
 
 

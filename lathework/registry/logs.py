@@ -75,10 +75,9 @@ def group_argmax(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def moving_average(spark: SparkSession, folder: str) -> DataFrame:
-    daily = (
-        table(spark, folder, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(F.avg("l_extendedprice").alias("price"))
-    )
-    out = stocks.trailing_average(daily, "l_suppkey", "l_shipdate", "price", 20)
+    lines, tasks = stocks.dealt_daily(table(spark, folder, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice"), "l_suppkey", "l_shipdate")
+    daily = lines.groupBy("l_suppkey", "l_shipdate").agg(F.avg("l_extendedprice").alias("price"))
+    out = stocks.trailing_average(daily, "l_suppkey", "l_shipdate", "price", 20, tasks=tasks)
     return out.select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.round("average", 6).alias("average"))
 
 

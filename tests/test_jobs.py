@@ -160,6 +160,17 @@ def test_trailing_average(spark, rows):
     assert got[("a", 20131024)] == pytest.approx(sum(range(3, 23)) / 20) and got[("b", 20131002)] == 7.0
 
 
+def test_daily_rows_are_dealt_by_their_number(spark, rows):
+    """As many tasks as the rows fill, and the window takes the tickers in as many."""
+    data = [(f"t{i % 50}", 20131001 + i // 50, float(i * 7 % 13)) for i in range(1000)]
+    df = spark.createDataFrame(data, "ticker string, date int, open double")
+    dealt, tasks = stocks.dealt_daily(df, "ticker", "date", rows_per_task=40)
+    assert tasks == 25 and dealt.rdd.getNumPartitions() == 25
+    got = stocks.trailing_average(dealt, "ticker", "date", "open", 3, tasks=tasks)
+    assert got.rdd.getNumPartitions() == 25 and rows(got) == rows(stocks.trailing_average(df, "ticker", "date", "open", 3))
+    assert stocks.dealt_daily(df.limit(0), "ticker", "date")[1] == spark.sparkContext.defaultParallelism
+
+
 def test_growth(spark, rows):
     data = [("a", 1, 2.0), ("a", 5, 4.0), ("a", 9, 6.0), ("b", 2, 1.0), ("c", 1, 0.0), ("c", 2, 3.0)]
     df = spark.createDataFrame(data, "ticker string, date int, open double")
