@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lathework.functions.text import phone_shaped
 from lathework.operators.presence import ENTRANCE, EXIT
 from lathework.streaming.marks import real, with_marks
-from lathework.streaming.presence import Timer, micros, use_state_store
+from lathework.streaming.presence import Timer, Waiting, keyed_rows, micros, use_state_store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -29,9 +29,6 @@ ALERT = T.StructType([
     T.StructField("start_us", T.LongType()), T.StructField("phone", T.StringType()),
 ])
 STAY = T.StructType([T.StructField("room", T.StringType()), T.StructField("start_us", T.LongType()), T.StructField("open", T.BooleanType())])
-WAITING = T.StructType([
-    T.StructField("ts_us", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("room", T.StringType()), T.StructField("phone", T.StringType()),
-])
 PHONE = T.StructType([T.StructField("phone", T.StringType())])
 
 
@@ -44,7 +41,7 @@ class Alerts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.stay = handle.getValueState("stay", STAY)
         self.phone = handle.getValueState("phone", PHONE)
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = Waiting(handle)
         self.timer = Timer(handle)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
@@ -63,21 +60,14 @@ class Alerts(StatefulProcessor):
         return out, stay, phone
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts_us, r.seq, r.room, r.phone) for r in rows]
-        self.waiting.appendList(new)
-        self.timer.earlier(min(r[0] for r in new))
+        self.timer.earlier(self.waiting.add((us, seq, room, phone) for _, _, room, seq, phone, us in rows))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        left = [r for r in waiting if r[0] >= passed]
+        ready, left = self.waiting.split(passed)
         out, stay, phone = self.applied(
-            tuple(self.stay.get()) if self.stay.exists() else None, self.phone.get()[0] if self.phone.exists() else None, [r for r in waiting if r[0] < passed], passed)
-        if len(left) < len(waiting):
-            self.waiting.clear()
-            if left:
-                self.waiting.put(left)
+            tuple(self.stay.get()) if self.stay.exists() else None, self.phone.get()[0] if self.phone.exists() else None, ready, passed)
         self.stay.update(stay) if stay else self.stay.clear()
         if phone is not None:
             self.phone.update((phone,))
@@ -106,7 +96,7 @@ def registered_alerts(merged: DataFrame, limit: str, room: str | None = None, ex
     ``known`` (``child``, ``phone``), a table of one row per child, is the state a new stream begins with.
     """
     use_state_store(merged.sparkSession)
-    keyed = merged.withColumn("ts_us", F.unix_micros("ts")).groupBy("child")
+    keyed = keyed_rows(merged, "phone").groupBy("child")
     begin = known.select(F.col("child").cast("string").alias("child"), "phone").groupBy("child") if known is not None else None
     alerts = keyed.transformWithState(
         statefulProcessor=Alerts(micros(limit), room, exit_room), outputStructType=ALERT, outputMode="Append", timeMode="EventTime", initialState=begin)

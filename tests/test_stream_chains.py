@@ -136,7 +136,7 @@ def test_waiting_rows_are_packed():
     assert waiting.split(10**9) == (rows_[:500], []) and not held.exists() and waiting.split(10**9) == ([], [])
 
 
-@pytest.mark.parametrize("processor", [restated.StandingPieces(1, 1)])
+@pytest.mark.parametrize("processor", [counts.RoomsOfBuckets(0, 1), restated.StandingPieces(1, 1), registered.Alerts(1), sp.DueStays(1)])
 def test_processors_keep_rows_packed(processor):
     made = []
 
