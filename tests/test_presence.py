@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from lathework.operators import presence
 from lathework.plans.intervals import points_in_intervals
@@ -184,6 +185,36 @@ def test_interval_join_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def crowded(spark, points, intervals):
+    """Points and intervals of one day, most of which contain most points."""
+    rnd = random.Random(11)
+    known = spark.createDataFrame([(at(9, s=rnd.randrange(36_000_000) / 1000), n) for n in range(points)] + [(None, -1)], "ts timestamp, n int")
+    spans = [(i, at(8, s=rnd.randrange(7_200)), at(17, s=rnd.randrange(7_200))) for i in range(intervals)] + [(-1, None, at(9)), (-2, at(10), at(10))]
+    return known, spark.createDataFrame(spans, "id int, low timestamp, high timestamp")
+
+
+@pytest.mark.parametrize("width", ["1 day", "30 minutes"])
+@pytest.mark.parametrize("block, share", [(1, 1), (8, 5), (256, 8192)])
+def test_interval_join_by_blocks_and_shares(spark, rows, width, block, share):
+    known, spans = crowded(spark, 90, 130)
+    known = known.unionByName(known.where("n < 20"))
+    micros = {"1 day": 86_400_000_000, "30 minutes": 1_800_000_000}[width]
+    got = points_in_intervals(known, spans, "ts", "low", "high", micros, block, share)
+    assert got.columns == ["ts", "n", "id", "low", "high"]
+    assert rows(got) == rows(known.join(spans, (known.ts >= spans.low) & (known.ts < spans.high)))
+
+
+def test_interval_join_of_one_bucket_takes_many_tasks_and_few_bytes(spark, tmp_path):
+    known, spans = crowded(spark, 1500, 1000)
+    joined = points_in_intervals(known.select("ts"), spans, "ts", "low", "high", 86_400_000_000, share=100)
+    joined.withColumn("task", F.spark_partition_id()).write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    pairs = back.count()
+    tasks = [r["count"] for r in back.groupBy("task").count().collect()]
+    assert pairs > 1_000_000 and len(tasks) >= 5 and max(tasks) < pairs / 2
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.5 * pairs
+
+
 def test_report_lines(spark):
     df = spark.createDataFrame([("09:05", "a", "1"), ("09:05", "b", "2"), ("09:10", "a", "3")], "tick string, child string, room string")
     lines = [r.line for r in presence.as_report_lines(df, "Child Location Report", "tick", ["child", "room"]).orderBy("stamp", "line_no", "line").collect()]
