@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lathework import sinks
 from lathework.operators import presence
+from lathework.registry import presence as batch
 from lathework.registry import streams
 from lathework.streaming import counts, marks, registered, restated
 from lathework.streaming import presence as sp
@@ -101,6 +102,37 @@ def test_pieces_and_events_meet_as_arrays(spark, rows, tmp_path, event_stream):
     assert kept < len(events) / 2
 
 
+@pytest.mark.parametrize("some", [1, 7, 512])
+def test_packed_repeats_are_told_later(spark, rows, tmp_path, event_stream, some):  # noqa: F811
+    """A sink holds pieces beside times, at most ``some`` of each in a row; ``told`` makes every repeat of them, in other types too."""
+    events = random_events(31)
+    table, stay, last = frames(spark, events)
+    width = "30 minutes"
+    until = us(events[-1][1]) // sp.micros(width) * sp.micros(width) + sp.micros(width)
+    packed, _ = to_its_end(spark, tmp_path, lambda m: restated.repeated_alerts(
+        event_stream(events), m, "15 minutes", width, shares=2, parts=3, packed=True, some=some), until)
+    want = presence.repeated_alerts(table, stay, last, "15 minutes", sp.micros(width))
+    assert rows(restated.told(packed).select(*want.columns)) == rows(want) and want.count() > 50
+    longest = packed.agg(F.max(F.size("pieces")), F.max(F.size("times")), F.min(F.size("pieces")), F.min(F.size("times"))).first()
+    assert max(longest[:2]) <= some and min(longest[2:]) >= 1
+    typed = restated.told(packed, "binary", "timestamp_ntz")
+    assert [f.dataType.simpleString() for f in typed.schema] == ["timestamp_ntz", "binary", "timestamp_ntz", "string"] and typed.count() == want.count()
+
+
+def test_the_query_writes_no_row_for_each_repeat(spark, rows, tmp_path):
+    """What the stream leaves in its table is far less than the repeats read from it; times shared by events count for each of them."""
+    start = at(0)
+    stays = [(i, start, i, "error") for i in range(60)] + [(60 + i, start + timedelta(hours=13), i, "purchase") for i in range(60)]
+    moves = [(200 + i, start + timedelta(hours=5, seconds=20 * (i // 2)), 1000 + i % 9, "purchase") for i in range(3000)]
+    spark.createDataFrame([(e, t, c, r) for e, t, c, r in stays + moves], "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = streams.QUERIES["stream_unsafe_alert_repeat"](spark, str(tmp_path))
+    want = batch.QUERIES["unsafe_alert_repeat"](spark, str(tmp_path))
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    told = 60 * sum(start + timedelta(hours=6) <= t < start + timedelta(hours=13) for _, t, _, _ in stays + moves)
+    kept = spark.read.parquet(*[f.rsplit("/", 1)[0] for f in got.inputFiles()[:1]]).count()
+    assert got.count() == told and 0 < kept < told / 50
+
+
 class HeldTexts:
     """The list state of one key."""
 
